@@ -243,10 +243,9 @@ def match_log(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame
 
 
 def _company_node_pairs(forms: DataFrame) -> DataFrame:
+    ends = [F.concat_ws("|", f"name_{i}", f"company_{i}") for i in (1, 2)]
     return cut_lineage(_company_pairs(forms).select(
-        F.concat_ws("|", "name_1", "company_1").alias("lo"),
-        F.concat_ws("|", "name_2", "company_2").alias("hi"),
-        F.lit(COMPANY_CONFIDENCE).alias("confidence"),
+        F.least(*ends).alias("lo"), F.greatest(*ends).alias("hi"), F.lit(COMPANY_CONFIDENCE).alias("confidence"),
     ))
 
 

@@ -17,7 +17,7 @@ TYPED_COLUMNS = {
 }
 
 
-def parse_envelope(messages: DataFrame, schema=BRONZE_LEAD, topic_column: str = "topic") -> DataFrame:
+def parse_envelope(messages: DataFrame, schema: str = BRONZE_LEAD) -> DataFrame:
     """Broker messages to bronze rows: envelope columns, parsed fields, load time and layer tag.
 
     The raw text stays in ``raw_value`` and ``is_corrupt`` marks text that is not a JSON object, because a
@@ -26,24 +26,23 @@ def parse_envelope(messages: DataFrame, schema=BRONZE_LEAD, topic_column: str =
     value = F.col("value").cast("string")
     parsed = messages.select(
         F.col("key").cast("string").alias("kafka_key"),
-        topic_column,
+        "topic",
         "partition",
         "offset",
         F.col("timestamp").alias("kafka_timestamp"),
         value.alias("raw_value"),
         F.from_json(value, schema).alias("data"),
-        F.try_parse_json(value).alias("_json"),
+        F.json_object_keys(value).isNull().alias("is_corrupt"),
     )
-    is_object = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
     return parsed.select(
         "kafka_key",
-        topic_column,
+        "topic",
         "partition",
         "offset",
         "kafka_timestamp",
         "data.*",
         "raw_value",
-        (~is_object).alias("is_corrupt"),
+        "is_corrupt",
         F.current_timestamp().alias("bronze_loaded_at"),
         F.lit("bronze").alias("layer"),
     )

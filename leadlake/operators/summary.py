@@ -16,8 +16,16 @@ def score_distribution(gold: DataFrame) -> DataFrame:
     )
 
 
+LEADS_PER_BLOCK = 2
+LONGEST_BAR = 1000
+
+
 def intent_share(gold: DataFrame) -> DataFrame:
-    """Count, share and bar for every level in fixed order, absent levels included. One pass, one row shuffled."""
+    """Count, share and bar for every level in fixed order, absent levels included. One pass, one row shuffled.
+
+    A block of the bar stands for two leads; beyond 2000 leads in total it stands for more, so that a bar
+    stays a line of text on any table.
+    """
     counts = gold.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col("intent_level") == level).alias(level) for level in LEVELS],
@@ -26,10 +34,12 @@ def intent_share(gold: DataFrame) -> DataFrame:
         F.struct(F.lit(i).alias("level_order"), F.lit(level).alias("intent_level"), F.col(level).alias("lead_count"))
         for i, level in enumerate(LEVELS, 1)
     ]))
-    return counts.select("total", rows.alias("r")).select(
+    per_block = F.greatest(F.lit(LEADS_PER_BLOCK), F.ceil(F.col("total") / LONGEST_BAR)).cast("bigint")
+    return counts.select("total", per_block.alias("leads_per_block"), rows.alias("r")).select(
         "r.*",
         F.when(F.col("total") > 0, F.round(100 * F.col("r.lead_count") / F.col("total"), 1)).otherwise(0.0).alias("share_pct"),
-        F.repeat(F.lit("█"), F.expr("cast(r.lead_count div 2 as int)")).alias("bar"),
+        "leads_per_block",
+        F.expr("repeat('█', cast(r.lead_count div leads_per_block as int))").alias("bar"),
     )
 
 

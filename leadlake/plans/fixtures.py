@@ -54,9 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def leads_from(spark: SparkSession, customers: DataFrame) -> DataFrame:
+    """Leads derived from a batch or stream of customers."""
+    return spark.sql(LEADS_SQL.replace("FROM customer", "FROM {customer}"), customer=customers)
+
+
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived raw leads."""
-    return spark.sql(LEADS_SQL.replace("FROM customer", "FROM {customer}"), customer=table(spark, sf_dir, "customer"))
+    return leads_from(spark, table(spark, sf_dir, "customer"))
 
 
 def messages(raw: DataFrame, topic: str = "leads") -> DataFrame:
