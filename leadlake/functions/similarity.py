@@ -7,21 +7,30 @@ A pair scores at least t exactly when d <= D = floor((1 - t/100) * (len1 + len2)
 the length difference. Cut the shorter string into D + 1 segments: D edits cannot touch all of them, so
 one segment occurs unchanged in the longer string, shifted by a bounded amount (the partition argument of
 Li, Deng, Wang and Feng, "Pass-Join", VLDB 2011). Equality of (lengths, segment number, segment text) is
-therefore a join key that loses no pair, and no group has to be compared all against all.
+therefore a join key that loses no pair, and no group has to be compared all against all. Cutting into D + 2
+segments and asking for two unchanged ones is just as lossless and far more selective, at the price of more keys.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import sys
+from itertools import combinations, product
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Executors need not have this package: its functions travel inside the UDF.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Above this length of the shorter string the key drops both lengths and rounds the position, which keeps the
 # number of keys linear in the length.
 EXACT_LENGTH_LIMIT = 24
+# Above this length of the shorter string one agreeing segment is asked for in any case: the number of ways to
+# pick two, and to shift them, would outgrow what the selectivity saves.
+TWO_SEGMENT_LIMIT = 16
 
 
 def _grid(m: int) -> int:
@@ -29,6 +38,18 @@ def _grid(m: int) -> int:
     return 1 << max(0, m.bit_length() - 4)
 
 
+def _memo(fn):
+    """Cache per argument tuple, in a form that can be pickled."""
+    seen: dict = {}
+
+    def cached(*args):
+        if args not in seen:
+            seen[args] = fn(*args)
+        return seen[args]
+
+    return cached
+
+
 def edit_budget(total: Column | str, threshold: float) -> Column:
     """Most insertions plus deletions that a pair of this total length may have."""
     total = F.col(total) if isinstance(total, str) else total
@@ -48,19 +69,7 @@ def _cuts(m: int, parts: int) -> list[tuple[int, int]]:
     return [(bounds[i], bounds[i + 1] - bounds[i]) for i in range(parts)]
 
 
-def _windows(m: int, n: int, d: int) -> list[tuple[int, int, int, int]]:
-    """(segment, length, first start, last start) of the places in the longer string where the unchanged
-    segment may stand. At most i edits lie before segment i and at most d - i behind it, for some segment."""
-    delta = n - m
-    out = []
-    for i, (start, size) in enumerate(_cuts(m, d + 1)):
-        low = max(-i, delta - (d - i))
-        high = min(i, delta + (d - i))
-        out.append((i, size, max(0, start + low), min(n - size, start + high)))
-    return out
-
-
-@lru_cache(maxsize=4096)
+@_memo
 def _longest_partner(m: int, share: float) -> int:
     n = m
     while _budget(m, n + 1, share) >= 0 or _budget(m, n + 2, share) >= 0:
@@ -68,59 +77,89 @@ def _longest_partner(m: int, share: float) -> int:
     return n
 
 
-@lru_cache(maxsize=4096)
-def _short_plan(m: int, share: float) -> tuple[tuple[str, int, int], ...]:
-    """(key prefix, start, end) of the segments a string of length m emits as the shorter one."""
+@_memo
+def _largest_budget(m: int, share: float) -> int:
+    return max(_budget(m, n, share) for n in range(m, _longest_partner(m, share) + 1))
+
+
+def _choices(m: int, d: int, need: int) -> list[tuple[tuple[int, ...], list[tuple[int, int]]]]:
+    """Every way to pick ``need`` of the d + need segments, of which at least ``need`` stay unchanged."""
+    need = min(need, m - d) if m <= TWO_SEGMENT_LIMIT else 1
+    cuts = _cuts(m, d + need)
+    return [(chosen, [cuts[i] for i in chosen]) for chosen in combinations(range(len(cuts)), need)]
+
+
+def _shifts(chosen: tuple[int, ...], d: int, delta: int) -> list[tuple[int, ...]]:
+    """Shifts the chosen segments can have together. The shift changes by at most one per edit, starts at 0 and
+    ends at the length difference; a single segment i can also be taken with at most i edits before it and
+    at most d - i behind it."""
+    if len(chosen) == 1:
+        i = chosen[0]
+        return [(a,) for a in range(max(-i, delta - (d - i)), min(i, delta + (d - i)) + 1)]
+    spread = range(-(d - delta) // 2, (d + delta) // 2 + 1)
+    steps = lambda path: sum(abs(b - a) for a, b in zip((0, *path), (*path, delta)))
+    return [path for path in product(spread, repeat=len(chosen)) if steps(path) <= d]
+
+
+@_memo
+def _short_plan(m: int, share: float, need: int) -> tuple[tuple[str, tuple[tuple[int, int], ...]], ...]:
+    """(key prefix, pieces) a string of length m emits as the shorter one."""
     if m <= EXACT_LENGTH_LIMIT:
         return tuple(
-            (f"{m},{n},{i}:", start, start + size)
+            (f"{m},{n},{chosen}:", tuple((start, start + size) for start, size in cuts))
             for n in range(m, _longest_partner(m, share) + 1)
             if (d := _budget(m, n, share)) >= 0
-            for i, (start, size) in enumerate(_cuts(m, d + 1))
+            for chosen, cuts in _choices(m, d, need)
         )
-    d = max(_budget(m, n, share) for n in range(m, _longest_partner(m, share) + 1))
     grid = _grid(m)
     return tuple(
-        (f"{grid},{bucket}:", start, start + size)
-        for i, (start, size) in enumerate(_cuts(m, d + 1))
+        (f"{grid},{bucket}:", ((start, start + size),))
+        for i, (start, size) in enumerate(_cuts(m, _largest_budget(m, share) + 1))
         for bucket in range(max(0, start - i) // grid, (start + i) // grid + 1)
     )
 
 
-@lru_cache(maxsize=4096)
-def _long_plan(n: int, share: float) -> tuple[tuple[str, int, int], ...]:
-    """(key prefix, start, end) of the pieces a string of length n emits as the longer one."""
+@_memo
+def _long_plan(n: int, share: float, need: int) -> tuple[tuple[str, tuple[tuple[int, int], ...]], ...]:
+    """(key prefix, pieces) a string of length n emits as the longer one."""
     partners = [m for m in range(1, n + 1) if _longest_partner(m, share) >= n and _budget(m, n, share) >= 0]
-    plan = [
-        (f"{m},{n},{i}:", place, place + size)
-        for m in partners
-        if m <= EXACT_LENGTH_LIMIT
-        for i, size, low, high in _windows(m, n, _budget(m, n, share))
-        for place in range(low, high + 1)
-    ]
-    shapes = set()
+    plan = []
     for m in partners:
-        if m > EXACT_LENGTH_LIMIT:
-            d = max(_budget(m, k, share) for k in range(m, _longest_partner(m, share) + 1))
-            shapes |= {(_grid(m), size) for _, size in _cuts(m, d + 1)}
+        if m <= EXACT_LENGTH_LIMIT:
+            d = _budget(m, n, share)
+            for chosen, cuts in _choices(m, d, need):
+                for path in _shifts(chosen, d, n - m):
+                    pieces = tuple((start + a, start + a + size) for (start, size), a in zip(cuts, path))
+                    if pieces[0][0] >= 0 and pieces[-1][1] <= n:
+                        plan.append((f"{m},{n},{chosen}:", pieces))
+    shapes = {
+        (_grid(m), size)
+        for m in partners if m > EXACT_LENGTH_LIMIT
+        for _, size in _cuts(m, _largest_budget(m, share) + 1)
+    }
     plan += [
-        (f"{grid},{place // grid}:", place, place + size)
+        (f"{grid},{place // grid}:", ((place, place + size),))
         for grid, size in sorted(shapes)
         for place in range(n - size + 1)
     ]
     return tuple(plan)
 
 
-def block_keys(text: Column | str, threshold: float, role: str) -> Column:
-    """Array of join keys of one string as the ``short`` or the ``long`` side of a pair."""
+def keys_of(text: str, share: float, role: str, need: int) -> list[str]:
+    """Join keys of one string as the ``short`` or ``long`` side; ``need`` segments must agree."""
+    plan = (_short_plan if role == "short" else _long_plan)(len(text), share, need)
+    return list({prefix + "\x1f".join(text[a:b] for a, b in pieces) for prefix, pieces in plan})
+
+
+def block_keys(text: Column | str, need: Column | str, threshold: float, role: str) -> Column:
+    """Array of join keys of a text column; ``need`` says how many segments must agree."""
     share = round(1 - threshold / 100, 10)
-    plan = _short_plan if role == "short" else _long_plan
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def keys(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda s: list({p + s[a:b] for p, a, b in plan(len(s), share)}))
+    def keys(texts: pd.Series, needs: pd.Series) -> pd.Series:
+        return pd.Series([keys_of(t, share, role, n) for t, n in zip(texts, needs)])
 
-    return keys(F.col(text) if isinstance(text, str) else text)
+    return keys(*[F.col(c) if isinstance(c, str) else c for c in (text, need)])
 
 
 def lcs_length(a: str, b: str) -> int:

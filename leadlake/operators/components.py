@@ -5,29 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadlake.operators.skew import skew_safe_lookup
 from leadlake.session import cut_lineage
 
-# A vertex with more than 1/HOT_SHARE of all edges is a hub. At most 2 * HOT_SHARE vertices can be hubs, whatever
-# the size of the graph, so the table of hubs is always small enough to broadcast.
-HOT_SHARE = 1000
-
-
-def skew_safe_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """Inner join of ``big`` with ``small`` (unique ``key``), where ``small.weight`` counts the key's rows in ``big``.
-
-    Rows of hot keys meet a broadcast of at most ``total / (total // HOT_SHARE)`` entries and are not
-    shuffled; in the remaining shuffle join no key holds more than 1/HOT_SHARE of the rows.
-    """
-    limit = max(total // HOT_SHARE, 100_000)
-    values = small.drop(weight)
-    if total <= limit:
-        return big.join(values, key)
-    hot = F.broadcast(small.filter(F.col(weight) > limit).drop(weight))
-    heavy = big.join(hot, key)
-    light = big.join(hot.select(key), key, "left_anti").join(small.filter(F.col(weight) <= limit).drop(weight), key)
-    return heavy.unionByName(light)
-
-
 def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
     """Connect every larger neighbour of a vertex to the smallest vertex around it."""
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -63,12 +43,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     current = cut_lineage(
         edges.filter(a != b).select(F.greatest(a, b).alias("src"), F.least(a, b).alias("dst")).distinct()
     )
-    size = current.count()
-    while size:
+    size = current.count()  # a contraction never adds edges, so this bounds all rounds
+    forest = size == 0
+    while not forest:
         current = cut_lineage(_small_star(_large_star(current, size), size))
-        if _is_star_forest(current):
-            break
-        size = current.count()
+        forest = _is_star_forest(current)
     members = current.select(F.col("src").alias("id"), F.col("dst").alias("component"))
     roots = current.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     return members.unionByName(roots)

@@ -8,25 +8,51 @@ from pyspark.sql import functions as F
 from leadlake.functions import similarity
 
 
+# Groups with more distinct texts than this use keys of two agreeing segments instead of one.
+LARGE_GROUP = 50_000
+# At most this many groups can be large, see ``_with_need``.
+MAX_LARGE_GROUPS = 1000
+
+
+def _with_need(short: DataFrame, long: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Adds ``need``, the number of segments that must agree, the same for both sides of a group.
+
+    A group is large above max(LARGE_GROUP, rows / MAX_LARGE_GROUPS) texts, so there are at most
+    MAX_LARGE_GROUPS large groups and their table is broadcast whatever the size of the input.
+    """
+    if total <= LARGE_GROUP:
+        return short.withColumn("need", F.lit(1)), long.withColumn("need", F.lit(1))
+    limit = max(LARGE_GROUP, total // MAX_LARGE_GROUPS)
+    large = F.broadcast(
+        long.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("grp", F.lit(2).alias("need"))
+    )
+    mark = lambda nodes: nodes.join(large, "grp", "left").withColumn("need", F.coalesce("need", F.lit(1)))
+    return mark(short), mark(long)
+
+
 def _keyed(nodes: DataFrame, side: str, threshold: float, role: str) -> DataFrame:
     """Node rows repeated once per block key. The key is a hash of (group, block); a collision only adds a
-    candidate, which the verification removes."""
-    keys = F.explode(similarity.block_keys("text", threshold, role)).alias("_key")
-    return nodes.select("id", "grp", "text", keys).select(
+    candidate, which the verification removes. The rows are spread first: a small table of texts is a lot of
+    work per byte, and adaptive coalescing looks at bytes."""
+    spark = nodes.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = F.explode(similarity.block_keys("text", "need", threshold, role)).alias("_key")
+    return nodes.repartition(width).select("id", "grp", "text", keys).select(
         F.col("id").alias(f"id_{side}"),
         F.col("grp").alias(f"grp_{side}"),
         F.col("text").alias(f"text_{side}"),
-        F.xxhash64("grp", "_key").alias("block"),
+        F.xxhash64("grp", "_key").alias(f"block_{side}"),
     )
 
 
-def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float) -> DataFrame:
+def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float, total: int) -> DataFrame:
     """Pairs of nodes in one group that pass the lossless filters, each once.
 
-    Both inputs have ``id``, ``grp`` (equality group) and ``text`` (words sorted, not empty). The left side of
-    a result is never longer than the right side. Edit distance is bounded by the insertion/deletion
+    Both inputs have ``id``, ``grp`` (equality group) and ``text`` (words sorted, not empty); ``total`` is at least
+    the number of rows of ``long`` and at most a small multiple of it. The left side of a result is never longer than the right side. Edit distance is bounded by the insertion/deletion
     distance, so ``levenshtein <= D`` keeps every true pair. It runs inside the join, before a pair is emitted.
     """
+    short, long = _with_need(short, long, total)
     a = _keyed(short, "a", threshold, "short")
     b = _keyed(long, "b", threshold, "long")
     la, lb = F.length("text_a"), F.length("text_b")
@@ -38,11 +64,11 @@ def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float) -> Data
         & (lb - la <= budget)
         & (F.levenshtein(F.col("text_a"), F.col("text_b")) <= budget)
     )
-    joined = a.withColumnRenamed("block", "block_a").join(b.withColumnRenamed("block", "block_b"), condition)
-    return joined.select("id_a", "id_b", "text_a", "text_b").dropDuplicates(["id_a", "id_b"])
+    return a.join(b, condition).select("id_a", "id_b", "text_a", "text_b").dropDuplicates(["id_a", "id_b"])
 
 
-def similar_pairs(short: DataFrame, long: DataFrame, threshold: float) -> DataFrame:
+def similar_pairs(short: DataFrame, long: DataFrame, threshold: float, total: int) -> DataFrame:
     """Candidate pairs whose exact similarity reaches the threshold, with the ``score``."""
-    scored = candidate_pairs(short, long, threshold).withColumn("score", similarity.similarity("text_a", "text_b"))
+    scored = candidate_pairs(short, long, threshold, total)
+    scored = scored.withColumn("score", similarity.similarity("text_a", "text_b"))
     return scored.filter(F.col("score") >= threshold)

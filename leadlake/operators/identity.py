@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from leadlake.functions import text
 from leadlake.operators.components import connected_components
 from leadlake.operators.fuzzy import candidate_pairs, similar_pairs
+from leadlake.operators.skew import salted_join, skew_safe_lookup
 from leadlake.session import cut_lineage
 
 # Fixed values of the rules.
@@ -102,8 +103,8 @@ def _company_nodes(forms: DataFrame) -> DataFrame:
 
 def domain_candidates(leads: DataFrame) -> DataFrame:
     """Rule 2 candidates: distinct names of one domain within the edit budget, before exact scoring."""
-    nodes = _domain_nodes(normal_forms(leads))
-    pairs = candidate_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD)
+    nodes = cut_lineage(_domain_nodes(normal_forms(leads)))
+    pairs = candidate_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, nodes.count())
     domain = F.split_part("id_a", F.lit(_SEP), F.lit(2))
     return pairs.select(
         domain.alias("domain"), F.least("text_a", "text_b").alias("name_1"), F.greatest("text_a", "text_b").alias("name_2")
@@ -112,8 +113,8 @@ def domain_candidates(leads: DataFrame) -> DataFrame:
 
 def domain_pairs(leads: DataFrame) -> DataFrame:
     """Rule 2 on distinct names: ``domain, name_1, name_2, score, confidence`` with name_1 < name_2."""
-    nodes = _domain_nodes(normal_forms(leads))
-    return similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD).select(
+    nodes = cut_lineage(_domain_nodes(normal_forms(leads)))
+    return similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, nodes.count()).select(
         F.split_part("id_a", F.lit(_SEP), F.lit(2)).alias("domain"),
         F.least("text_a", "text_b").alias("name_1"),
         F.greatest("text_a", "text_b").alias("name_2"),
@@ -122,37 +123,35 @@ def domain_pairs(leads: DataFrame) -> DataFrame:
     )
 
 
-def similar_companies(companies: DataFrame) -> DataFrame:
+def similar_companies(companies: DataFrame, total: int) -> DataFrame:
     """Ordered pairs ``company, partner`` of similar companies, each company with itself included."""
     distinct = companies.select("m_company").distinct()
     nodes = distinct.select(F.col("m_company").alias("id"), F.lit("").alias("grp"), F.col("m_company").alias("text"))
-    pairs = similar_pairs(nodes, nodes, COMPANY_THRESHOLD).select(
-        F.col("id_a").alias("company"), F.col("id_b").alias("partner")
-    )
-    return (
-        pairs.unionByName(pairs.select(F.col("partner").alias("company"), F.col("company").alias("partner")))
-        .unionByName(distinct.select(F.col("m_company").alias("company"), F.col("m_company").alias("partner")))
-    )
+    pair = lambda a, b: F.struct(F.col(a).alias("company"), F.col(b).alias("partner"))
+    both = F.explode(F.array(pair("id_a", "id_b"), pair("id_b", "id_a"))).alias("p")
+    pairs = similar_pairs(nodes, nodes, COMPANY_THRESHOLD, total).select(both).select("p.*")
+    return pairs.unionByName(distinct.select(F.col("m_company").alias("company"), F.col("m_company").alias("partner")))
 
 
 def company_pairs(leads: DataFrame) -> DataFrame:
     """Rule 3 on distinct (name, company): ``name_1, company_1, name_2, company_2``, first side smaller."""
-    return _company_pairs(normal_forms(leads))
+    nodes = cut_lineage(_company_nodes(normal_forms(leads)))
+    return _company_pairs(nodes, nodes.count())
 
 
-def _company_pairs(forms: DataFrame) -> DataFrame:
+def _company_pairs(forms: DataFrame, total: int) -> DataFrame:
     """Companies are compared once each; a node then looks for similar names inside the companies that are
-    similar to its own."""
-    nodes = cut_lineage(_company_nodes(forms))
-    partners = cut_lineage(similar_companies(nodes))
+    similar to its own. ``forms`` (``total`` rows) should be materialized, it is read several times."""
+    nodes = _company_nodes(forms)
     key = F.concat_ws(_SEP, "m_name", "m_company")
-    reach = nodes.join(partners, nodes.m_company == partners.company).select(
-        key.alias("id"), F.col("partner").alias("grp"), F.col("m_name").alias("text")
-    )
+    reach = salted_join(
+        nodes.select(key.alias("id"), F.col("m_name").alias("text"), F.col("m_company").alias("company")),
+        similar_companies(nodes, total), "company", total,
+    ).select("id", F.col("partner").alias("grp"), "text")
     home = nodes.select(key.alias("id"), F.col("m_company").alias("grp"), F.col("m_name").alias("text"))
-    fuzzy = similar_pairs(reach, home, NAME_THRESHOLD).select("id_a", "id_b")
+    fuzzy = similar_pairs(reach, home, NAME_THRESHOLD, total).select("id_a", "id_b")
     part = lambda side, i: F.split_part(F.col(side), F.lit(_SEP), F.lit(i))
-    return fuzzy.select(F.least("id_a", "id_b").alias("lo"), F.greatest("id_a", "id_b").alias("hi")).distinct().select(
+    return fuzzy.select(F.least("id_a", "id_b").alias("lo"), F.greatest("id_a", "id_b").alias("hi")).select(
         part("lo", 1).alias("name_1"), part("lo", 2).alias("company_1"),
         part("hi", 1).alias("name_2"), part("hi", 2).alias("company_2"),
     )
@@ -170,12 +169,25 @@ def _pairs_within(counts: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def _claimed_across(pairs: DataFrame, counts: DataFrame) -> DataFrame:
-    """Record pairs between two nodes that share a claim, as ``lo, hi, taken``."""
-    a = counts.filter("claim is not null").select(F.col("node").alias("lo"), "claim", F.col("n").alias("n_lo"))
-    b = counts.filter("claim is not null").select(F.col("node").alias("hi"), "claim", F.col("n").alias("n_hi"))
+    """Record pairs between two nodes that share a claim, as ``lo, hi, taken``.
+
+    A pair is looked up from its node with fewer claims, so a node that holds very many costs each of its
+    partners only the partner's own claims.
+    """
+    claims = counts.filter("claim is not null")
+    width = claims.groupBy("node").agg(F.count(F.lit(1)).alias("width"))
+    of = lambda end: width.select(F.col("node").alias(end), F.col("width").alias(f"{end}_width"))
+    small_first = F.col("lo_width") <= F.col("hi_width")
+    routed = pairs.select("lo", "hi").join(of("lo"), "lo").join(of("hi"), "hi").select(
+        "lo", "hi",
+        F.when(small_first, F.col("lo")).otherwise(F.col("hi")).alias("near"),
+        F.when(small_first, F.col("hi")).otherwise(F.col("lo")).alias("far"),
+    )
+    near = claims.select(F.col("node").alias("near"), "claim", F.col("n").alias("n_near"))
+    far = claims.select(F.col("node").alias("far"), "claim", F.col("n").alias("n_far"))
     return (
-        pairs.select("lo", "hi").join(a, "lo").join(b, ["hi", "claim"])
-        .groupBy("lo", "hi").agg(F.sum(F.col("n_lo") * F.col("n_hi")).alias("taken"))
+        routed.join(near, "near").join(far, ["far", "claim"])
+        .groupBy("lo", "hi").agg(F.sum(F.col("n_near") * F.col("n_far")).alias("taken"))
     )
 
 
@@ -208,6 +220,7 @@ def match_log(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame
     forms = cut_lineage(
         normal_forms(leads).groupBy("m_email", "m_domain", "m_name", "m_company").agg(F.count(F.lit(1)).alias("n"))
     )
+    total = forms.count()
     exact = (
         forms.filter("m_email != ''").groupBy("m_email").agg(F.sum("n").alias("n")).filter("n > 1")
         .select(F.lit(EXACT).alias("match_type"), F.lit(EXACT_CONFIDENCE).alias("confidence"),
@@ -221,7 +234,7 @@ def match_log(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame
         .groupBy(key2.alias("node"), F.col("m_email").alias("claim")).agg(F.sum("n").alias("n"))
     )
     nodes2 = _domain_nodes(forms)
-    pairs2 = cut_lineage(similar_pairs(nodes2, nodes2, DOMAIN_NAME_THRESHOLD).select(
+    pairs2 = cut_lineage(similar_pairs(nodes2, nodes2, DOMAIN_NAME_THRESHOLD, total).select(
         F.concat_ws("|", F.split_part("id_a", F.lit(_SEP), F.lit(2)), F.least("text_a", "text_b")).alias("lo"),
         F.concat_ws("|", F.split_part("id_a", F.lit(_SEP), F.lit(2)), F.greatest("text_a", "text_b")).alias("hi"),
         F.floor(F.col("score") * 0.9).cast("int").alias("confidence"),
@@ -238,26 +251,27 @@ def match_log(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame
         .groupBy(key3.alias("node"), claim3.alias("claim")).agg(F.sum("n").alias("n"))
     )
     return exact.unionByName(domain).unionByName(
-        _log_of_rule(counts3, _company_node_pairs(forms), COMPANY, COMPANY_CONFIDENCE)
+        _log_of_rule(counts3, _company_node_pairs(forms, total), COMPANY, COMPANY_CONFIDENCE)
     ).filter(F.col("confidence") >= threshold)
 
 
-def _company_node_pairs(forms: DataFrame) -> DataFrame:
+def _company_node_pairs(forms: DataFrame, total: int) -> DataFrame:
     ends = [F.concat_ws("|", f"name_{i}", f"company_{i}") for i in (1, 2)]
-    return cut_lineage(_company_pairs(forms).select(
+    return cut_lineage(_company_pairs(forms, total).select(
         F.least(*ends).alias("lo"), F.greatest(*ends).alias("hi"), F.lit(COMPANY_CONFIDENCE).alias("confidence"),
     ))
 
 
 # ----------------------------------------------------------------------------- clusters and golden records
 
-def _star(members: DataFrame, group: str) -> DataFrame:
+def _star(members: DataFrame, group: str, total: int) -> DataFrame:
     """Connect the anchors of each group to its smallest anchor; groups with one anchor give nothing."""
     pairs = members.filter(F.col(group).isNotNull()).select(group, "anchor").distinct()
-    shared = pairs.groupBy(group).agg(F.min("anchor").alias("dst"), F.max("anchor").alias("top"))
-    return (
-        pairs.join(shared.filter("dst < top").drop("top"), group)
-        .filter("anchor > dst").select(F.col("anchor").alias("src"), "dst")
+    shared = pairs.groupBy(group).agg(
+        F.min("anchor").alias("dst"), F.max("anchor").alias("top"), F.count(F.lit(1)).alias("size")
+    ).filter("dst < top").drop("top")
+    return skew_safe_lookup(pairs, shared, group, "size", total).filter("anchor > dst").select(
+        F.col("anchor").alias("src"), "dst"
     )
 
 
@@ -267,10 +281,11 @@ def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFra
         _with_nodes(leads, threshold).filter("anchor is not null")
         .select("anchor", "n_email", "n_company", "m_domain", "m_name", "m_company").distinct()
     )
-    edges = _star(members, "n_email")
+    total = members.count()
+    edges = _star(members, "n_email", total)
     if threshold <= SAME_NAME_CONFIDENCE:
         nodes = _domain_nodes(members)
-        fuzzy = similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD)
+        fuzzy = similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, total)
         edges = edges.unionByName(
             fuzzy.filter(F.floor(F.col("score") * 0.9) >= threshold)
             .select(F.col("id_a").alias("src"), F.col("id_b").alias("dst"))
@@ -278,9 +293,9 @@ def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFra
     if threshold <= COMPANY_CONFIDENCE:
         anchor_of = members.filter("n_company is not null").groupBy("n_company").agg(F.min("anchor").alias("anchor"))
         node = lambda i: F.concat_ws(_SEP, F.lit("c"), f"name_{i}", f"company_{i}")
-        ends = _company_pairs(members).select(node(1).alias("n_1"), node(2).alias("n_2"))
+        ends = _company_pairs(members, total).select(node(1).alias("n_1"), node(2).alias("n_2"))
         side = lambda key, name: anchor_of.select(F.col("n_company").alias(key), F.col("anchor").alias(name))
-        edges = edges.unionByName(_star(members, "n_company")).unionByName(
+        edges = edges.unionByName(_star(members, "n_company", total)).unionByName(
             ends.join(side("n_1", "src"), "n_1").join(side("n_2", "dst"), "n_2").select("src", "dst")
         )
     return edges

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlake.session import scratch_path
+
 LEADS_SQL = """
 SELECT
   CASE WHEN k % 97 = 0 THEN 'None' ELSE concat('lead_', lpad(CAST(k AS STRING), 7, '0')) END AS lead_id,
@@ -50,6 +52,10 @@ FROM (
 """
 
 
+# Folder of the landed leads by application and source folder.
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -60,8 +66,15 @@ def leads_from(spark: SparkSession, customers: DataFrame) -> DataFrame:
 
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived raw leads."""
-    return leads_from(spark, table(spark, sf_dir, "customer"))
+    """The raw lead table: derived from all customers and landed as Parquet once per session and folder, so that
+    queries scan columns and push filters as they would on a real raw layer."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = scratch_path(spark, "raw-leads")
+        derived = leads_from(spark, table(spark, sf_dir, "customer"))
+        derived.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
 
 
 def messages(raw: DataFrame, topic: str = "leads") -> DataFrame:
