@@ -50,10 +50,10 @@ def _memo(fn):
     return cached
 
 
-def edit_budget(total: Column | str, threshold: float) -> Column:
-    """Most insertions plus deletions that a pair of this total length may have."""
-    total = F.col(total) if isinstance(total, str) else total
-    return F.floor(total * F.lit(round(1 - threshold / 100, 10)) + F.lit(1e-9)).cast("int")
+def edit_budget(shorter: Column, longer: Column, threshold: float) -> Column:
+    """Most insertions plus deletions a pair of these lengths may have, with the parity of their difference."""
+    most = F.floor((shorter + longer) * F.lit(round(1 - threshold / 100, 10)) + F.lit(1e-9)).cast("int")
+    return most - F.pmod(most - (longer - shorter), F.lit(2))
 
 
 def _budget(m: int, n: int, share: float) -> int:
@@ -151,15 +151,30 @@ def keys_of(text: str, share: float, role: str, need: int) -> list[str]:
     return list({prefix + "\x1f".join(text[a:b] for a, b in pieces) for prefix, pieces in plan})
 
 
+def signature_of(text: str) -> int:
+    """63 bits: for each of 21 character classes three bits that say count >= 1, >= 2, >= 3. One insertion or
+    deletion changes one count by one and so flips at most one bit."""
+    counts = [0] * 21
+    for ch in text:
+        counts[ord(ch) % 21] += 1
+    return sum(((1 << min(c, 3)) - 1) << (3 * i) for i, c in enumerate(counts))
+
+
+BLOCKS = "struct<keys: array<string>, signature: bigint>"
+
+
 def block_keys(text: Column | str, need: Column | str, threshold: float, role: str) -> Column:
-    """Array of join keys of a text column; ``need`` says how many segments must agree."""
+    """Join keys and bit signature of a text column; ``need`` says how many segments must agree."""
     share = round(1 - threshold / 100, 10)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def keys(texts: pd.Series, needs: pd.Series) -> pd.Series:
-        return pd.Series([keys_of(t, share, role, n) for t, n in zip(texts, needs)])
+    @F.pandas_udf(BLOCKS)
+    def blocks(texts: pd.Series, needs: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            "keys": [keys_of(t, share, role, n) for t, n in zip(texts, needs)],
+            "signature": [signature_of(t) for t in texts],
+        })
 
-    return keys(*[F.col(c) if isinstance(c, str) else c for c in (text, need)])
+    return blocks(*[F.col(c) if isinstance(c, str) else c for c in (text, need)])
 
 
 def lcs_length(a: str, b: str) -> int:

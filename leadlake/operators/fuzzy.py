@@ -36,39 +36,52 @@ def _keyed(nodes: DataFrame, side: str, threshold: float, role: str) -> DataFram
     work per byte, and adaptive coalescing looks at bytes."""
     spark = nodes.sparkSession
     width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = F.explode(similarity.block_keys("text", "need", threshold, role)).alias("_key")
-    return nodes.repartition(width).select("id", "grp", "text", keys).select(
-        F.col("id").alias(f"id_{side}"),
-        F.col("grp").alias(f"grp_{side}"),
-        F.col("text").alias(f"text_{side}"),
+    blocks = similarity.block_keys("text", "need", threshold, role).alias("b")
+    return nodes.repartition(width).select("*", blocks).select("*", F.explode("b.keys").alias("_key")).select(
         F.xxhash64("grp", "_key").alias(f"block_{side}"),
+        F.col("b.signature").alias(f"sig_{side}"),
+        F.length("text").alias(f"len_{side}"),
+        *[F.col(c).alias(f"{c}_{side}") for c in ("text", "grp", "own") if c in nodes.columns],
     )
 
 
 def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float, total: int) -> DataFrame:
-    """Pairs of nodes in one group that pass the lossless filters, each once.
+    """Pairs of nodes in one group that pass the lossless filters, each once: ``text_a, own_a, text_b, own_b``.
 
-    Both inputs have ``id``, ``grp`` (equality group) and ``text`` (words sorted, not empty); ``total`` is at least
-    the number of rows of ``long`` and at most a small multiple of it. The left side of a result is never longer than the right side. Edit distance is bounded by the insertion/deletion
-    distance, so ``levenshtein <= D`` keeps every true pair. It runs inside the join, before a pair is emitted.
+    Both inputs have ``grp`` (equality group) and ``text`` (words sorted, not empty); a short node may be looked
+    up in a group other than its ``own``. ``total`` is at least the number of rows of ``long`` and at most a
+    small multiple of it. The left side of a result is never longer than the right side.
+
+    With D the most insertions plus deletions a pair may have, a true pair differs by at most D in length, in at
+    most D signature bits and in at most D Levenshtein edits. The cheap tests come first, and all run inside the
+    join, before a pair is emitted.
     """
     short, long = _with_need(short, long, total)
     a = _keyed(short, "a", threshold, "short")
     b = _keyed(long, "b", threshold, "long")
-    la, lb = F.length("text_a"), F.length("text_b")
-    budget = similarity.edit_budget(la + lb, threshold)
+    if "own" not in short.columns:
+        a = a.withColumn("own_a", F.col("grp_a"))
+    budget = similarity.edit_budget(F.col("len_a"), F.col("len_b"), threshold)
+    same_length_order = F.when(
+        F.col("text_a") == F.col("text_b"), F.col("own_a") < F.col("grp_b")
+    ).otherwise(F.col("text_a") < F.col("text_b"))
     condition = (
         (F.col("block_a") == F.col("block_b"))
-        & (F.col("grp_a") == F.col("grp_b"))
-        & ((la < lb) | ((la == lb) & (F.col("id_a") < F.col("id_b"))))
-        & (lb - la <= budget)
-        & (F.levenshtein(F.col("text_a"), F.col("text_b")) <= budget)
+        & (F.col("len_a") <= F.col("len_b")) & (F.col("len_b") - F.col("len_a") <= budget)
+        & (F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b"))) <= budget)
+        # Equality of the groups, written so that it stays a filter and the join key stays one number.
+        & (F.col("grp_a") <= F.col("grp_b")) & (F.col("grp_a") >= F.col("grp_b"))
+        & ((F.col("len_a") < F.col("len_b")) | same_length_order)
+        & (F.call_function("levenshtein", F.col("text_a"), F.col("text_b"), budget) >= 0)
     )
-    return a.join(b, condition).select("id_a", "id_b", "text_a", "text_b").dropDuplicates(["id_a", "id_b"])
+    # Size estimates ignore that explode multiplies rows, so the planner would broadcast a side of any real size.
+    # A sort-merge join spills and lets AQE split the partitions of frequent blocks.
+    return a.hint("merge").join(b, condition).select(
+        "text_a", "own_a", "text_b", F.col("grp_b").alias("own_b")
+    ).distinct()
 
 
 def similar_pairs(short: DataFrame, long: DataFrame, threshold: float, total: int) -> DataFrame:
     """Candidate pairs whose exact similarity reaches the threshold, with the ``score``."""
-    scored = candidate_pairs(short, long, threshold, total)
-    scored = scored.withColumn("score", similarity.similarity("text_a", "text_b"))
-    return scored.filter(F.col("score") >= threshold)
+    pairs = candidate_pairs(short, long, threshold, total)
+    return pairs.withColumn("score", similarity.similarity("text_a", "text_b")).filter(F.col("score") >= threshold)

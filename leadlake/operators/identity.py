@@ -92,8 +92,7 @@ def exact_email_groups(leads: DataFrame) -> DataFrame:
 def _domain_nodes(forms: DataFrame) -> DataFrame:
     return (
         forms.filter("m_domain != '' and m_name != ''").select("m_domain", "m_name").distinct()
-        .select(F.concat_ws(_SEP, F.lit("d"), "m_domain", "m_name").alias("id"),
-                F.col("m_domain").alias("grp"), F.col("m_name").alias("text"))
+        .select(F.col("m_domain").alias("grp"), F.col("m_name").alias("text"))
     )
 
 
@@ -105,9 +104,8 @@ def domain_candidates(leads: DataFrame) -> DataFrame:
     """Rule 2 candidates: distinct names of one domain within the edit budget, before exact scoring."""
     nodes = cut_lineage(_domain_nodes(normal_forms(leads)))
     pairs = candidate_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, nodes.count())
-    domain = F.split_part("id_a", F.lit(_SEP), F.lit(2))
     return pairs.select(
-        domain.alias("domain"), F.least("text_a", "text_b").alias("name_1"), F.greatest("text_a", "text_b").alias("name_2")
+        F.col("own_a").alias("domain"), F.least("text_a", "text_b").alias("name_1"), F.greatest("text_a", "text_b").alias("name_2")
     )
 
 
@@ -115,7 +113,7 @@ def domain_pairs(leads: DataFrame) -> DataFrame:
     """Rule 2 on distinct names: ``domain, name_1, name_2, score, confidence`` with name_1 < name_2."""
     nodes = cut_lineage(_domain_nodes(normal_forms(leads)))
     return similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, nodes.count()).select(
-        F.split_part("id_a", F.lit(_SEP), F.lit(2)).alias("domain"),
+        F.col("own_a").alias("domain"),
         F.least("text_a", "text_b").alias("name_1"),
         F.greatest("text_a", "text_b").alias("name_2"),
         "score",
@@ -126,9 +124,9 @@ def domain_pairs(leads: DataFrame) -> DataFrame:
 def similar_companies(companies: DataFrame, total: int) -> DataFrame:
     """Ordered pairs ``company, partner`` of similar companies, each company with itself included."""
     distinct = companies.select("m_company").distinct()
-    nodes = distinct.select(F.col("m_company").alias("id"), F.lit("").alias("grp"), F.col("m_company").alias("text"))
+    nodes = distinct.select(F.lit("").alias("grp"), F.col("m_company").alias("text"))
     pair = lambda a, b: F.struct(F.col(a).alias("company"), F.col(b).alias("partner"))
-    both = F.explode(F.array(pair("id_a", "id_b"), pair("id_b", "id_a"))).alias("p")
+    both = F.explode(F.array(pair("text_a", "text_b"), pair("text_b", "text_a"))).alias("p")
     pairs = similar_pairs(nodes, nodes, COMPANY_THRESHOLD, total).select(both).select("p.*")
     return pairs.unionByName(distinct.select(F.col("m_company").alias("company"), F.col("m_company").alias("partner")))
 
@@ -143,17 +141,16 @@ def _company_pairs(forms: DataFrame, total: int) -> DataFrame:
     """Companies are compared once each; a node then looks for similar names inside the companies that are
     similar to its own. ``forms`` (``total`` rows) should be materialized, it is read several times."""
     nodes = _company_nodes(forms)
-    key = F.concat_ws(_SEP, "m_name", "m_company")
     reach = salted_join(
-        nodes.select(key.alias("id"), F.col("m_name").alias("text"), F.col("m_company").alias("company")),
+        nodes.select(F.col("m_name").alias("text"), F.col("m_company").alias("company")),
         similar_companies(nodes, total), "company", total,
-    ).select("id", F.col("partner").alias("grp"), "text")
-    home = nodes.select(key.alias("id"), F.col("m_company").alias("grp"), F.col("m_name").alias("text"))
-    fuzzy = similar_pairs(reach, home, NAME_THRESHOLD, total).select("id_a", "id_b")
-    part = lambda side, i: F.split_part(F.col(side), F.lit(_SEP), F.lit(i))
-    return fuzzy.select(F.least("id_a", "id_b").alias("lo"), F.greatest("id_a", "id_b").alias("hi")).select(
-        part("lo", 1).alias("name_1"), part("lo", 2).alias("company_1"),
-        part("hi", 1).alias("name_2"), part("hi", 2).alias("company_2"),
+    ).select("text", F.col("partner").alias("grp"), F.col("company").alias("own"))
+    home = nodes.select(F.col("m_name").alias("text"), F.col("m_company").alias("grp"))
+    fuzzy = similar_pairs(reach, home, NAME_THRESHOLD, total)
+    end = lambda side: F.struct(F.col(f"text_{side}").alias("name"), F.col(f"own_{side}").alias("company"))
+    return fuzzy.select(F.least(end("a"), end("b")).alias("lo"), F.greatest(end("a"), end("b")).alias("hi")).select(
+        F.col("lo.name").alias("name_1"), F.col("lo.company").alias("company_1"),
+        F.col("hi.name").alias("name_2"), F.col("hi.company").alias("company_2"),
     )
 
 
@@ -235,8 +232,8 @@ def match_log(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame
     )
     nodes2 = _domain_nodes(forms)
     pairs2 = cut_lineage(similar_pairs(nodes2, nodes2, DOMAIN_NAME_THRESHOLD, total).select(
-        F.concat_ws("|", F.split_part("id_a", F.lit(_SEP), F.lit(2)), F.least("text_a", "text_b")).alias("lo"),
-        F.concat_ws("|", F.split_part("id_a", F.lit(_SEP), F.lit(2)), F.greatest("text_a", "text_b")).alias("hi"),
+        F.concat_ws("|", "own_a", F.least("text_a", "text_b")).alias("lo"),
+        F.concat_ws("|", "own_a", F.greatest("text_a", "text_b")).alias("hi"),
         F.floor(F.col("score") * 0.9).cast("int").alias("confidence"),
     ))
     domain = _log_of_rule(counts2, pairs2, DOMAIN, SAME_NAME_CONFIDENCE)
@@ -288,7 +285,8 @@ def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFra
         fuzzy = similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, total)
         edges = edges.unionByName(
             fuzzy.filter(F.floor(F.col("score") * 0.9) >= threshold)
-            .select(F.col("id_a").alias("src"), F.col("id_b").alias("dst"))
+            .select(F.concat_ws(_SEP, F.lit("d"), "own_a", "text_a").alias("src"),
+                    F.concat_ws(_SEP, F.lit("d"), "own_b", "text_b").alias("dst"))
         )
     if threshold <= COMPANY_CONFIDENCE:
         anchor_of = members.filter("n_company is not null").groupBy("n_company").agg(F.min("anchor").alias("anchor"))

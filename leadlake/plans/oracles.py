@@ -117,6 +117,11 @@ def _similarity(a: str, b: str) -> str:
     return f"((1::DOUBLE - ({total} - 2 * {_lcs(a, b)})::DOUBLE / {total}::DOUBLE) * 100::DOUBLE)"
 
 
+def _class_count(column: str) -> str:
+    """How many characters of a text have code i modulo 21, at most 3."""
+    return f"least(3, len(list_filter(string_split({column}, ''), lambda ch: unicode(ch) % 21 = i)))"
+
+
 def _tokens(column: str) -> str:
     plain = f"replace(replace(trim(lower(coalesce(nullif({column},'None'),'')), {_WS}),'.',''),',','')"
     return f"array_to_string(list_sort(list_filter(string_split({plain}, ' '), lambda w: w <> '')), ' ')"
@@ -355,10 +360,14 @@ ORACLES: dict[str, str] = {
     "global_id": _with("SELECT lead_id, 'gid_'||substr(md5(email||':'||email_domain),1,12) AS global_id FROM silver", "silver"),
     "idr_exact_email_groups": _with(f"""SELECT e AS email, count(*) AS record_count, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS pair_count
         FROM {_forms('cleaned')} WHERE e <> '' GROUP BY e HAVING count(*) > 1""", "cleaned"),
-    "idr_domain_candidates": _with("""SELECT DISTINCT a.d AS domain, a.n AS name_1, b.n AS name_2 FROM forms a JOIN forms b
-        ON a.d = b.d AND a.n < b.n WHERE a.d <> '' AND a.n <> ''
-        AND abs(length(a.n) - length(b.n)) <= floor(0.15 * (length(a.n) + length(b.n)) + 0.000000001)
-        AND levenshtein(a.n, b.n) <= floor(0.15 * (length(a.n) + length(b.n)) + 0.000000001)""", "cleaned", more=f"forms AS {_forms('cleaned')}"),
+    "idr_domain_candidates": _with(f"""SELECT domain, name_1, name_2 FROM (
+        SELECT *, most - (most + difference) % 2 AS budget FROM (
+          SELECT DISTINCT a.d AS domain, a.n AS name_1, b.n AS name_2, abs(length(a.n) - length(b.n)) AS difference,
+            CAST(floor(0.15 * (length(a.n) + length(b.n)) + 0.000000001) AS BIGINT) AS most
+          FROM forms a JOIN forms b ON a.d = b.d AND a.n < b.n WHERE a.d <> '' AND a.n <> '') p) t
+        WHERE difference <= budget AND levenshtein(name_1, name_2) <= budget
+          AND list_sum(list_transform(range(21), lambda i: abs({_class_count('name_1')} - {_class_count('name_2')}))) <= budget""",
+        "cleaned", more=f"forms AS {_forms('cleaned')}"),
     "idr_domain_pairs": _with(f"""SELECT domain, name_1, name_2, s AS score, CAST(floor(s * 0.9::DOUBLE) AS INTEGER) AS confidence FROM (
         SELECT *, {_similarity('name_1', 'name_2')} AS s FROM (SELECT DISTINCT a.d AS domain, a.n AS name_1, b.n AS name_2
           FROM forms a JOIN forms b ON a.d = b.d AND a.n < b.n WHERE a.d <> '' AND a.n <> '') p) t WHERE s >= 85""",
