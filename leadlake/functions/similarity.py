@@ -160,6 +160,12 @@ def signature_of(text: str) -> int:
     return sum(((1 << min(c, 3)) - 1) << (3 * i) for i, c in enumerate(counts))
 
 
+def _once(udf):
+    """Keep the optimizer from repeating a Python function inside filters that it infers or pushes down, even
+    below a distinct: it leaves functions alone that are declared non-deterministic."""
+    return udf.asNondeterministic()
+
+
 BLOCKS = "struct<keys: array<string>, signature: bigint>"
 
 
@@ -174,7 +180,7 @@ def block_keys(text: Column | str, need: Column | str, threshold: float, role: s
             "signature": [signature_of(t) for t in texts],
         })
 
-    return blocks(*[F.col(c) if isinstance(c, str) else c for c in (text, need)])
+    return _once(blocks)(*[F.col(c) if isinstance(c, str) else c for c in (text, need)])
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -202,4 +208,4 @@ def similarity(a: Column | str, b: Column | str) -> Column:
         return pd.Series(out)
 
     columns = [F.col(c) if isinstance(c, str) else c for c in (a, b)]
-    return ratio(*columns)
+    return _once(ratio)(*columns)

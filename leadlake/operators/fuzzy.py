@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from leadlake.functions import similarity
 
 
-# Groups with more distinct texts than this use keys of two agreeing segments instead of one.
-LARGE_GROUP = 50_000
+# Groups with more distinct texts than this use keys of two agreeing segments instead of one: about thirty times as
+# many keys, which pays once most of the work is comparing texts that share one segment by chance.
+LARGE_GROUP = 1_000_000
 # At most this many groups can be large, see ``_with_need``.
 MAX_LARGE_GROUPS = 1000
 
@@ -30,7 +31,7 @@ def _with_need(short: DataFrame, long: DataFrame, total: int) -> tuple[DataFrame
     return mark(short), mark(long)
 
 
-def _keyed(nodes: DataFrame, side: str, threshold: float, role: str) -> DataFrame:
+def _keyed(nodes: DataFrame, side: str, threshold: int, role: str) -> DataFrame:
     """Node rows repeated once per block key. The key is a hash of (group, block); a collision only adds a
     candidate, which the verification removes. The rows are spread first: a small table of texts is a lot of
     work per byte, and adaptive coalescing looks at bytes."""
@@ -45,7 +46,7 @@ def _keyed(nodes: DataFrame, side: str, threshold: float, role: str) -> DataFram
     )
 
 
-def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float, total: int) -> DataFrame:
+def candidate_pairs(short: DataFrame, long: DataFrame, threshold: int, total: int) -> DataFrame:
     """Pairs of nodes in one group that pass the lossless filters, each once: ``text_a, own_a, text_b, own_b``.
 
     Both inputs have ``grp`` (equality group) and ``text`` (words sorted, not empty); a short node may be looked
@@ -65,10 +66,12 @@ def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float, total:
     same_length_order = F.when(
         F.col("text_a") == F.col("text_b"), F.col("own_a") < F.col("grp_b")
     ).otherwise(F.col("text_a") < F.col("text_b"))
+    flipped = F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b")))
     condition = (
         (F.col("block_a") == F.col("block_b"))
-        & (F.col("len_a") <= F.col("len_b")) & (F.col("len_b") - F.col("len_a") <= budget)
-        & (F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b"))) <= budget)
+        & (F.col("len_a") <= F.col("len_b"))
+        & (flipped * 100 <= (F.col("len_a") + F.col("len_b")) * (100 - threshold))  # whole numbers, most end here
+        & (F.col("len_b") - F.col("len_a") <= budget) & (flipped <= budget)
         # Equality of the groups, written so that it stays a filter and the join key stays one number.
         & (F.col("grp_a") <= F.col("grp_b")) & (F.col("grp_a") >= F.col("grp_b"))
         & ((F.col("len_a") < F.col("len_b")) | same_length_order)
@@ -81,7 +84,7 @@ def candidate_pairs(short: DataFrame, long: DataFrame, threshold: float, total:
     ).distinct()
 
 
-def similar_pairs(short: DataFrame, long: DataFrame, threshold: float, total: int) -> DataFrame:
+def similar_pairs(short: DataFrame, long: DataFrame, threshold: int, total: int) -> DataFrame:
     """Candidate pairs whose exact similarity reaches the threshold, with the ``score``."""
     pairs = candidate_pairs(short, long, threshold, total)
     return pairs.withColumn("score", similarity.similarity("text_a", "text_b")).filter(F.col("score") >= threshold)
