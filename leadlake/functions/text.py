@@ -91,8 +91,7 @@ def normal_domain(email: Column | str) -> Column:
 
 def sorted_tokens(text: Column | str) -> Column:
     """Words in code point order, joined by one blank."""
-    words = F.filter(F.split(_c(text), WHITESPACE_CLASS + "+"), lambda w: w != "")
-    return F.array_join(F.array_sort(words), " ")
+    return F.array_join(F.sort_array(F.split(strip(text), WHITESPACE_CLASS + "+")), " ")
 
 
 def global_id(email: Column | str, email_domain: Column | str) -> Column:

@@ -274,10 +274,10 @@ def _star(members: DataFrame, group: str, total: int) -> DataFrame:
 
 def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Edges between anchors whose components are the identities."""
+    # Filtered after it is stored: pushed down, the filter would compute the normal forms a second time.
     members = cut_lineage(
-        _with_nodes(leads, threshold).filter("anchor is not null")
-        .select("anchor", "n_email", "n_company", "m_domain", "m_name", "m_company").distinct()
-    )
+        _with_nodes(leads, threshold).select("anchor", "n_email", "n_company", "m_domain", "m_name", "m_company").distinct()
+    ).filter("anchor is not null")
     total = members.count()
     edges = _star(members, "n_email", total)
     if threshold <= SAME_NAME_CONFIDENCE:
