@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,8 @@ from leadlake.schemas import BRONZE_LEAD
 
 BRONZE_TRIGGER = "30 seconds"
 SILVER_TRIGGER = "60 seconds"
+# Most keys of a micro-batch that are broadcast (two short texts each, so some tens of megabytes).
+BROADCAST_KEYS = 200_000
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -75,21 +80,29 @@ def start_silver(bronze: DataFrame, path: str, checkpoint: str, every: str | Non
 
 
 def append_new_keys(batch: DataFrame, path: str, keys: list[str]) -> None:
-    """Append the first row of each key that the table at ``path`` does not have (null keys compare equal)."""
-    fresh = keep_first(batch, keys, [F.col("lead_id").asc_nulls_last()])
+    """Append the first row of each key that the table at ``path`` does not have (null keys compare equal).
+
+    The table is scanned for its key columns only. While the batch has few keys they are broadcast and the table
+    is not shuffled; a larger batch is joined by shuffle.
+    """
+    fresh = keep_first(batch, keys, [F.col("lead_id").asc_nulls_last()]).persist()
     try:
-        known = batch.sparkSession.read.parquet(path).select(*keys).distinct()
-    except AnalysisException:
-        known = None
-    if known is not None:
-        condition = None
-        for key in keys:
-            same = fresh[key].eqNullSafe(known[key])
-            condition = same if condition is None else condition & same
-        fresh = fresh.join(known, condition, "left_anti")
-    fresh.write.mode("append").parquet(path)
-
-
-def run_streams(*queries: StreamingQuery) -> None:
+        wanted = fresh.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        if fresh.count() <= BROADCAST_KEYS:
+            wanted = F.broadcast(wanted)
+        try:
+            table = batch.sparkSession.read.parquet(path).select(*keys)
+        except AnalysisException:  # first batch: no table yet
+            new = fresh
+        else:
+            match = lambda left, right: reduce(and_, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
+            known = table.join(wanted, match(table, wanted), "left_semi").distinct().toDF(*[f"_{k}" for k in keys])
+            new = fresh.join(known, match(fresh, known), "left_anti")
+        new.write.mode("append").parquet(path)
+    finally:
+        fresh.unpersist()
+
+
+def run_streams(spark: SparkSession) -> None:
     """Wait until any of the running queries ends."""
-    queries[0].sparkSession.streams.awaitAnyTermination() if queries else None
+    spark.streams.awaitAnyTermination()
