@@ -31,12 +31,20 @@ def _with_need(short: DataFrame, long: DataFrame, total: int) -> tuple[DataFrame
     return mark(short), mark(long)
 
 
-def _keyed(nodes: DataFrame, side: str, threshold: int, role: str) -> DataFrame:
+# Texts per task of the key function: enough to pay for a task, few enough to keep its output below a gigabyte.
+FEWEST_TEXTS, MOST_TEXTS = 2_000, 200_000
+
+
+def _tasks(total: int, cores: int) -> int:
+    """Tasks for ``total`` texts: all cores if there is work for them, more when tasks would become too large."""
+    return max(min(cores, -(-total // FEWEST_TEXTS)), -(-total // MOST_TEXTS), 1)
+
+
+def _keyed(nodes: DataFrame, side: str, threshold: int, role: str, total: int) -> DataFrame:
     """Node rows repeated once per block key. The key is a hash of (group, block); a collision only adds a
     candidate, which the verification removes. The rows are spread first: a small table of texts is a lot of
     work per byte, and adaptive coalescing looks at bytes."""
-    spark = nodes.sparkSession
-    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    width = _tasks(total, nodes.sparkSession.sparkContext.defaultParallelism)
     blocks = similarity.block_keys("text", "need", threshold, role).alias("b")
     return nodes.repartition(width).select("*", blocks).select("*", F.explode("b.keys").alias("_key")).select(
         F.xxhash64("grp", "_key").alias(f"block_{side}"),
@@ -58,8 +66,8 @@ def candidate_pairs(short: DataFrame, long: DataFrame, threshold: int, total: in
     join, before a pair is emitted.
     """
     short, long = _with_need(short, long, total)
-    a = _keyed(short, "a", threshold, "short")
-    b = _keyed(long, "b", threshold, "long")
+    a = _keyed(short, "a", threshold, "short", total)
+    b = _keyed(long, "b", threshold, "long", total)
     if "own" not in short.columns:
         a = a.withColumn("own_a", F.col("grp_a"))
     budget = similarity.edit_budget(F.col("len_a"), F.col("len_b"), threshold)
