@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from leadlake.functions.scoring import LEVELS
 
-METRIC = "layer string, status string, files bigint, rows bigint, size_kb bigint"
-
-
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """Rows per named table."""
     counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")

@@ -30,11 +30,6 @@ CONTACT_PAYLOAD = (
     "jobtitle: string, phone: string, hs_lead_status: string, createdate: string>"
 )
 
-CHECK_RESULT = (
-    "layer string, expectation string, column string, status string, passed boolean, total_rows bigint, "
-    "bad_rows bigint, bad_pct double, message string"
-)
-
 # Answers of the three insight stages.
 ENRICHMENT = (
     "company_summary string, company_stage string, likely_tech_stack array<string>, pain_points array<string>, "
