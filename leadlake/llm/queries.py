@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import simhash
+from leadlake.llm import quality, simhash
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,8 @@ def query(fn: Query) -> Query:
 @query
 def op4_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

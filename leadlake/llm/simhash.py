@@ -15,7 +15,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.llm.blocks import block_groups, map_pairs, spanning_labels
@@ -174,3 +174,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     named = member.join(lowest, "component").select("fp", "component_id")
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with all columns, but of each component only the document whose ``doc_id`` names it.
+
+    Of rows that repeat this ``doc_id`` the first by text stays. Rows without ``doc_id`` cannot name a component and all stay.
+    """
+    labels = near_duplicates(docs, shingle, distance)
+    names = labels.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_name")).distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), F.xxhash64(*docs.columns))
+    chosen = docs.join(names, docs["doc_id"].cast("long") == F.col("_name"), "left_semi")
+    single = chosen.withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
+    return single.unionByName(docs.filter(F.col("doc_id").isNull()))
