@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import quality, simhash
+from leadlake.llm import mixing, quality, sharding, simhash
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +27,53 @@ def op4_simhash_dedup(spark, sf_dir):
 @query
 def op5_quality_rules(spark, sf_dir):
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_sharding(spark, sf_dir):
+    return sharding.pack_into(table(spark, sf_dir, "documents"), 16)
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+ORACLES["op9_mixing"] = r"""
+WITH sizes AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         row_number() OVER () AS row
+  FROM documents),
+sources AS (
+  SELECT *, CAST(2 * source_size AS DOUBLE) AS cap, CASE place % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS weight FROM (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           row_number() OVER (ORDER BY encode(source) NULLS LAST) AS place
+    FROM sizes GROUP BY source)),
+levels AS (
+  SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources),
+targets AS (
+  SELECT source, place, source_size,
+         least(cap, weight * max(CASE WHEN level <= cap / weight THEN level END) OVER ()) AS target
+  FROM levels),
+drawn AS (
+  SELECT s.*, t.place, t.target, epoch,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(epoch AS VARCHAR)) AS key
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, (VALUES (1), (2)) e(epoch)
+  WHERE size > 0),
+timed AS (
+  SELECT *, sum(size) OVER (PARTITION BY place ORDER BY epoch, key, doc_id, size, row
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / target AS finish
+  FROM drawn),
+reached AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, place, epoch, key, doc_id, size, row
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS words
+  FROM timed),
+taken AS (
+  SELECT row, sum(size) AS taken FROM reached
+  WHERE words - size / 2.0 <= (SELECT 1.5 * sum(size) FROM sizes) GROUP BY row)
+SELECT s.doc_id, s.size, t.source_size, CAST(t.target AS DOUBLE) AS target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
+FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN taken k ON s.row = k.row
+"""
