@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import mixing, quality, sharding, simhash
+from leadlake.llm import mixing, pii, quality, sharding, simhash
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,8 @@ taken AS (
 SELECT s.doc_id, s.size, t.source_size, CAST(t.target AS DOUBLE) AS target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
 FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN taken k ON s.row = k.row
 """
+
+
+@query
+def op10_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
