@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import mixing, pii, quality, sharding, simhash
+from leadlake.llm import embedding_dedup, mixing, pii, quality, sharding, simhash
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,28 @@ FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN
 @query
 def op10_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op2_embedding_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS src, b.vec_id AS dst FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+   AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, l.dst FROM reach r JOIN links l ON r.other = l.src),
+component AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT src AS vec_id, count(*) AS n FROM links GROUP BY src)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
