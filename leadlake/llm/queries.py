@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import embedding_dedup, mixing, pii, quality, sharding, simhash
+from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sharding, simhash
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,8 @@ degree AS (SELECT src AS vec_id, count(*) AS n FROM links GROUP BY src)
 SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
 """
+
+
+@query
+def op6_html_extraction(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
