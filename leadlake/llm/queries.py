@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sharding, simhash
+from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sharding, simhash, toxicity
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,8 @@ FROM embeddings e JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
 @query
 def op6_html_extraction(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
