@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sharding, simhash, toxicity
+from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,8 @@ def op6_html_extraction(spark, sf_dir):
 @query
 def op3_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))

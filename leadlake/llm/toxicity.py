@@ -69,7 +69,7 @@ def toxic_stems(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     often: Counter[bytes] = Counter()
     for text in toxic:
         often.update(_beginnings(text))
-    least = max(4, STEM_SHARE * len(toxic))
+    least = max(4, STEM_SHARE * len(toxic) + 3)
     often = Counter({g: n for g, n in often.items() if n >= least})
     elsewhere: Counter[bytes] = Counter()
     for text in ordinary:
