@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import quality, simhash
+from leadlake.llm import mixing, pii, quality, sentencepiece_codec, simhash
 from leadlake.llm.common import table
 from leadlake.session import scratch_path
 
@@ -24,9 +24,27 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_representatives(docs)
 
 
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind in brackets; ``n_chars`` follows the text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target proportions; a document comes once, twice or not at all."""
+    return mixing.mixed_documents(docs)
+
+
+def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix."""
+    return sentencepiece_codec.encode_documents(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
+    ("pii_redaction", pii_redaction),
+    ("source_mixing", source_mixing),
+    ("sentencepiece_encoding", sentencepiece_encoding),
 ]
 # Trees, components and vocabularies are beyond SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,8 @@ def op3_toxicity(spark, sf_dir):
 @query
 def op1_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"))
