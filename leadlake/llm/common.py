@@ -29,6 +29,16 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct ``kept``, so that no helper column can clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept")
+
+
+def unpacked(docs: DataFrame, **replaced: Column) -> list[Column]:
+    """The columns that ``packed`` holds, with some replaced."""
+    return [replaced.get(c, F.col("kept").getField(c)).alias(c) for c in docs.columns]
+
+
 def batch_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch; it yields any number of batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

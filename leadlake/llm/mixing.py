@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import WORD, running_start
+from leadlake.llm.common import WORD, packed, running_start, unpacked
 from leadlake.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -102,11 +102,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes it."""
     shares = mix(docs, **options).filter("taken > 0").select(
         "doc_id", "source", "size", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    same = ("_id", "_from", "_size")
-    wanted = shares.select(F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("size").alias("_size"), "copies")
-    wanted = wanted.withColumn("_n", F.row_number().over(Window.partitionBy(*same).orderBy(F.desc("copies"))))
-    numbered = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_words", word_count()).withColumn(
-        "_row", F.row_number().over(Window.partitionBy("_doc", "source", "_words").orderBy("text")))
-    taken = numbered.join(wanted, F.col("_doc").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_from"))
-                          & (F.col("_words") == F.col("_size")) & (F.col("_row") == F.col("_n")))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    wanted = shares.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))))
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("origin"),
+                       word_count().alias("words"), "text")
+    numbered = rows.withColumn("place", F.row_number().over(Window.partitionBy("id", "origin", "words").orderBy("text")))
+    taken = numbered.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("origin").eqNullSafe(F.col("source"))
+                          & (F.col("words") == F.col("size")) & (F.col("place") == F.col("n")))
+    return taken.select("kept", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*unpacked(docs))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm import boosting
+from leadlake.llm.common import packed, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 # The rules. Possessive repeats and the guard in front change no match: a run that fails at its start fails everywhere
@@ -50,10 +51,11 @@ PRECISION = 0.99
 TREES, DEPTH = 24, 3
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as ``array<struct<start, end, hit>>`` in code points.
+def spans_of(text: Column, pattern: str, valid: Callable[[Column], Column] = lambda hit: F.lit(True)) -> Column:
+    """Leftmost non-overlapping matches that are ``valid`` as ``array<struct<start, end, hit>>`` in code points.
 
-    The pieces between the matches and the matches themselves give the offsets.
+    The pieces between the matches and the matches themselves give the offsets. Matches that fail are dropped on the way, so
+    a text full of numbers does not build up a list.
     """
     pieces = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -64,8 +66,8 @@ def spans_of(text: Column, pattern: str) -> Column:
         begin = state["at"] + pair["gap"]
         end = begin + F.coalesce(F.length(pair["hit"]), F.lit(0))
         one = F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.when(pair["hit"].isNull(), state["found"]).otherwise(
-            F.array_append(state["found"], one)).alias("found"))
+        return F.struct(end.alias("at"), F.when(pair["hit"].isNotNull() & valid(pair["hit"]), F.array_append(
+            state["found"], one)).otherwise(state["found"]).alias("found"))
 
     pairs = F.zip_with(pieces, hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
     return F.aggregate(pairs, start, add, lambda state: state["found"])
@@ -94,18 +96,14 @@ def luhn(digits: Column) -> Column:
 
 def rule_spans(text: Column, kind: str) -> Column:
     """Spans of a rule, without matches that fail its check."""
-    found = spans_of(text, _RULES[kind])
-    if kind == "email":
-        return F.when(F.contains(text, F.lit("@")), found).otherwise(_none())
-    if kind == "ip":
-        whole = rf"^{_PART}(?:\.{_PART}){{3}}$"
-        kept = F.filter(found, lambda s: s["hit"].rlike(whole))
-        return F.when(text.rlike(r"[0-9]\.[0-9]"), kept).otherwise(_none())
-    n = lambda s: F.length(digits_of(s["hit"]))
-    if kind == "card":
-        kept = F.filter(found, lambda s: n(s).between(12, 19) & luhn(digits_of(s["hit"])))
-        return F.when(text.rlike("[0-9]"), kept).otherwise(_none())
-    return F.when(F.contains(text, F.lit("+")), F.filter(found, lambda s: n(s).between(9, 15))).otherwise(_none())
+    n = lambda hit: F.length(digits_of(hit))
+    valid, possible = {
+        "email": (lambda hit: F.lit(True), F.contains(text, F.lit("@"))),
+        "ip": (lambda hit: hit.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"), text.rlike(r"[0-9]\.[0-9]")),
+        "card": (lambda hit: n(hit).between(12, 19) & luhn(digits_of(hit)), text.rlike(r"[0-9](?:[\x20-]?[0-9]){11}")),
+        "phone": (lambda hit: n(hit).between(9, 15), F.contains(text, F.lit("+"))),
+    }[kind]
+    return F.when(possible, spans_of(text, _RULES[kind], valid)).otherwise(_none())
 
 
 def proposals(text: Column) -> Column:
@@ -230,7 +228,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Spans that overlap are replaced together under the kind of the first. A null text stays null; all columns stay.
     """
-    found = detect(docs)
+    found = detect(docs.select(packed(docs), "doc_id", "text"))
     merged = F.aggregate(
         "_spans", F.array().cast("array<struct<start:int,end:int,kind:string>>"),
         lambda done, s: F.when(
@@ -247,5 +245,4 @@ def redact(docs: DataFrame) -> DataFrame:
         F.lit("["), F.upper(s["kind"]), F.lit("]")))
     rest = F.substr(whole, F.element_at("_merged", -1)["end"] + 1)
     clean = F.when(F.size("_merged") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("text"))
-    return found.withColumn("_merged", merged).withColumn("_clean", clean).select(
-        *(F.col("_clean").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    return found.withColumn("_merged", merged).select(*unpacked(docs, text=clean))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.llm.blocks import block_groups, map_pairs, spanning_labels
-from leadlake.llm.common import batch_map, utf8
+from leadlake.llm.common import batch_map, packed, unpacked, utf8
 from leadlake.operators.components import connected_components
 from leadlake.session import cut_lineage
 
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def correlated_parts(bits: np.ndarray, parts: int) -> list[list[int]]:
     """Deal the 64 bit positions into equal groups, each grown from its most correlated bits."""
-    spread = bits.std(axis=0) > 0
+    spread = bits.any(axis=0) & ~bits.all(axis=0)
     related = np.zeros((64, 64))
     if spread.sum() > 1:
         related[np.ix_(spread, spread)] = np.abs(np.corrcoef(bits[:, spread], rowvar=False))
@@ -85,6 +85,7 @@ def allocate(sample: np.ndarray, total: int, distance: int = DISTANCE) -> tuple[
 
     For each number of partitions a dynamic program over (partition, thresholds spent) minimises rows and candidates.
     """
+    total = max(total, 1)
     bits = ((sample[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int8)
     pairs_per_sample_pair = (total / max(len(sample), 1)) ** 2
     best: tuple[float, list[list[int]], list[int]] | None = None
@@ -182,8 +183,9 @@ def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int
     Of rows that repeat this ``doc_id`` the first by text stays. Rows without ``doc_id`` cannot name a component and all stay.
     """
     labels = near_duplicates(docs, shingle, distance)
-    names = labels.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_name")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), F.xxhash64(*docs.columns))
-    chosen = docs.join(names, docs["doc_id"].cast("long") == F.col("_name"), "left_semi")
-    single = chosen.withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
-    return single.unionByName(docs.filter(F.col("doc_id").isNull()))
+    names = labels.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("name")).distinct()
+    first = Window.partitionBy("id").orderBy(F.col("text").asc_nulls_first())
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), "text")
+    chosen = rows.join(names, F.col("id") == F.col("name"), "left_semi")
+    single = chosen.withColumn("place", F.row_number().over(first)).filter("place = 1").select("kept")
+    return single.unionByName(rows.filter(F.col("id").isNull()).select("kept")).select(*unpacked(docs))
