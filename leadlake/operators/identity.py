@@ -370,7 +370,7 @@ def resolution_stats(golden: DataFrame) -> DataFrame:
         "input_records", "golden_records",
         (F.col("input_records") - F.col("golden_records")).alias("duplicates_merged"),
         "multi_source_ids",
-        F.when(F.col("input_records") > 0, F.round(
+        F.when(F.col("input_records") > 0, F.bround(
             100 * (F.col("input_records") - F.col("golden_records")) / F.col("input_records"), 1
         )).otherwise(0.0).alias("reduction_pct"),
     )

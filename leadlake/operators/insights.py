@@ -99,6 +99,7 @@ INTENT = Stage(
         "Sources": ("sources", "unknown"), "Records": ("record_count", "1"),
     },
     prompt_tail="Answer in JSON.",
+    # The answer of a stage without a usable response.
     fallback=_literals(
         intent_score=50, intent_level="cool", intent_signals=[], urgency="medium", deal_size_estimate="smb",
         next_best_action="Send introductory email", ai_reasoning="Unable to assess intent",
@@ -137,19 +138,44 @@ def _usable(response: Column) -> Column:
     return F.json_object_keys(response).isNotNull()
 
 
-def overlay(leads: DataFrame, stage: Stage, response: Column) -> DataFrame:
+def _typed(text: Column, dtype: str) -> Column:
+    """A JSON value, kept as text, in the type of the column it replaces; null if it does not fit."""
+    if dtype == "string":
+        return text
+    return F.from_json(text, dtype) if dtype.startswith(("array", "struct", "map")) else text.try_cast(dtype)
+
+
+def overlay(leads: DataFrame, stage: Stage, response: Column, lead_columns: list[str] | None = None) -> DataFrame:
     """Lay one answer over the lead: a key in the answer replaces the column of that name, other columns stay.
 
-    Text that is not JSON gives the stage's fixed answer for all of its keys.
+    Text that is not JSON gives the stage's fixed answer for all of its keys. Keys outside the stage replace a column of
+    ``lead_columns`` in its type; those that name no column go to the map column ``extra``. With ``lead_columns`` None
+    only the stage's keys count.
     """
     fallback = stage.fallback(leads.columns)
-    with_answer = leads.select("*", F.from_json(response, stage.schema).alias("_answer"), F.json_object_keys(response).alias("_keys"))
+    keys = F.json_object_keys(response)
+    with_answer = leads.select("*", F.from_json(response, stage.schema).alias("_answer"), keys.alias("_keys"),
+                               F.from_json(response, "map<string,string>").alias("_all"))
     added = {}
     for name, default in fallback.items():
         before = F.col(name) if name in leads.columns else F.lit(None)
         answered = F.when(F.array_contains("_keys", name), F.col("_answer")[name]).otherwise(before)
         added[name] = F.when(F.col("_keys").isNull(), default).otherwise(answered)
-    return with_answer.withColumns(added).drop("_answer", "_keys")
+    if lead_columns is not None:
+        dtypes = dict(leads.dtypes)
+        known = [*fallback, *lead_columns]
+        for name in lead_columns:
+            if name not in fallback and name != "extra":
+                added[name] = F.when(F.array_contains("_keys", name), _typed(F.col("_all")[name], dtypes[name])).otherwise(
+                    F.col(name))
+        none = F.create_map().cast("map<string,string>")
+        others = F.when(F.col("_keys").isNotNull(), F.map_filter("_all", lambda k, _: ~k.isin(known)))
+        others = F.coalesce(others, none)
+        if "extra" in leads.columns:
+            earlier = F.map_filter(F.coalesce("extra", none), lambda k, _: ~F.map_contains_key(others, k))
+            others = F.map_concat(earlier, others)
+        added["extra"] = others
+    return with_answer.withColumns(added).drop("_answer", "_keys", "_all")
 
 
 def parse_responses(responses: DataFrame, stage: Stage) -> DataFrame:
@@ -158,14 +184,20 @@ def parse_responses(responses: DataFrame, stage: Stage) -> DataFrame:
     return overlay(parsed, stage, F.col("response")).drop("response")
 
 
+def one_per_lead(responses: DataFrame) -> DataFrame:
+    """``lead_id, _response``: of several answers the first by text, usable ones before others."""
+    order = F.struct(~F.coalesce(_usable(F.col("response")), F.lit(False)), F.col("response"))
+    return responses.groupBy("lead_id").agg(F.min_by("response", order).alias("_response"))
+
+
 def run_stage(leads: DataFrame, stage: Stage, responses: Responses = None) -> DataFrame:
     """One stage. Without responses every lead gets the fixed answer; leads without a response do too."""
     if callable(responses):
         responses = responses(prompts(leads, stage))
     if responses is None:
         return leads.withColumns(stage.fallback(leads.columns))
-    answers = responses.select("lead_id", F.col("response").alias("_response"))
-    return overlay(leads.join(answers, "lead_id", "left"), stage, F.col("_response")).drop("_response")
+    joined = leads.join(one_per_lead(responses), "lead_id", "left")
+    return overlay(joined, stage, F.col("_response"), leads.columns).drop("_response")
 
 
 def rejected_responses(responses: DataFrame) -> DataFrame:

@@ -118,6 +118,7 @@ def score_leads(silver: DataFrame, profile: str = "warehouse", rules: scoring.Sc
     )
 
 
+# Output columns of the gold layer, streamed and in the warehouse.
 GOLD_COLUMNS = (
     "lead_id", "source", "full_name", "email", "company_name", "industry", "seniority", "employee_count",
     "lead_score", "seniority_score", "company_size_score", "industry_score", "completeness_score",

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from leadlake.functions.scoring import LEVELS
 
+# Errors that mean "no table here yet"; any other error is raised.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """Rows per named table."""
     counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
@@ -26,13 +30,15 @@ def _layer_health(spark: SparkSession, name: str, path: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
         )
         rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
         return spark.range(1).select(
             F.lit(name).alias("layer"), F.lit("EMPTY").alias("status"),
             *[F.lit(0).cast("bigint").alias(c) for c in ("files", "rows", "size_kb")]
         )
-    one = F.lit(1).alias("_one")
-    return files.select("*", one).join(rows.select("*", one), "_one").select(
+    facts = files.unionByName(rows, allowMissingColumns=True).agg(*(F.max(c).alias(c) for c in ("files", "bytes", "rows")))
+    return facts.select(
         F.lit(name).alias("layer"),
         F.when(F.col("rows") > 0, "OK").otherwise("EMPTY").alias("status"),
         "files", "rows", F.floor(F.col("bytes") / 1024).alias("size_kb"),
@@ -49,15 +55,19 @@ def overall_status(health: DataFrame) -> DataFrame:
     return health.agg(F.when(ok, "HEALTHY").otherwise("NEEDS ATTENTION").alias("platform_status"))
 
 
+def write_report(results: DataFrame, folder: str) -> None:
+    """Add the few rows of a report to a folder as one JSON file that holds an array."""
+    listed = F.to_json(F.sort_array(F.collect_list(F.struct(*results.columns))), {"ignoreNullFields": "false"})
+    results.agg(listed.alias("value")).write.mode("append").text(folder)
+
+
 def latest_report(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Rows of the newest JSON report in a folder (one JSON object per line or one array per file)."""
-    rows = (
-        spark.read.schema(schema).option("multiLine", "true").json(folder)
-        .select("*", F.col("_metadata.file_path").alias("_file"),
-                F.col("_metadata.file_modification_time").alias("_time"))
-    )
-    newest = rows.agg(F.max_by("_file", F.struct("_time", "_file")).alias("_file"))
-    return rows.join(F.broadcast(newest), "_file").drop("_file", "_time")
+    listed = spark.read.format("binaryFile").load(folder).select("path", "modificationTime")  # a listing, no content
+    newest = listed.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", "true").json(newest)
 
 
 def metrics_snapshot(layers: dict[str, DataFrame], gold: DataFrame, snapshot_at: Column | None = None,
@@ -69,7 +79,7 @@ def metrics_snapshot(layers: dict[str, DataFrame], gold: DataFrame, snapshot_at:
     )
     facts = gold.agg(
         *[F.count_if(F.col("intent_level") == level).cast("double").alias(level) for level in LEVELS],
-        F.round(F.avg("lead_score"), 2).alias("score"),
+        F.bround(F.avg("lead_score"), 2).alias("score"),
     )
     entry = lambda metric, label, value: F.struct(
         F.lit(metric).alias("metric"), F.lit(label).alias("label"), value.alias("value"))

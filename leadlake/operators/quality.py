@@ -103,7 +103,7 @@ def _result(check: Check, bad: Column, total: Column, known: bool) -> Column:
         passed = (bad >= check.min_rows) if kind == "expect_row_count_above" else (bad == 0)
         message = F.when(passed, F.lit(PASS)).otherwise(F.concat(F.lit(f"{FAIL} — "), failure))
     count_as = lambda *kinds: (bad if kind in kinds else null_of("bigint"))
-    null_pct = F.when(total > 0, F.round(100 * bad / total, 2)).otherwise(F.lit(0.0))
+    null_pct = F.when(total > 0, F.bround(100 * bad / total, 2)).otherwise(F.lit(0.0))
     valid = F.array(*map(F.lit, check.valid_values)) if check.valid_values else null_of("array<string>")
     return F.struct(
         F.lit(kind).alias("expectation"),
@@ -169,12 +169,12 @@ def failures(results: DataFrame) -> DataFrame:
 
 
 def summary(results: DataFrame) -> DataFrame:
-    """Checks, passed (skipped ones included), failed, skipped, pass rate in percent."""
+    """Checks, passed (skipped ones included), failed, skipped, pass rate in percent (rounded half to even)."""
     counts = results.agg(
         F.count(F.lit(1)).alias("total_checks"),
         F.count_if("passed").alias("passed"),
         F.count_if(~F.col("passed")).alias("failed"),
         F.count_if(F.col("status") == SKIP).alias("skipped"),
     )
-    rate = F.when(F.col("total_checks") > 0, F.round(100 * F.col("passed") / F.col("total_checks"), 1)).otherwise(0.0)
+    rate = F.when(F.col("total_checks") > 0, F.bround(100 * F.col("passed") / F.col("total_checks"), 1)).otherwise(0.0)
     return counts.withColumn("pass_rate", rate)

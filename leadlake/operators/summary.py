@@ -16,15 +16,14 @@ def score_distribution(gold: DataFrame) -> DataFrame:
     )
 
 
-LEADS_PER_BLOCK = 2
-LONGEST_BAR = 1000
+# Blocks of a bar that stands for all leads: one block per two percent.
+WHOLE_BAR = 50
 
 
 def intent_share(gold: DataFrame) -> DataFrame:
     """Count, share and bar for every level in fixed order, absent levels included. One pass, one row shuffled.
 
-    A block of the bar stands for two leads; beyond 2000 leads in total it stands for more, so that a bar
-    stays a line of text on any table.
+    The share is rounded half to even; the bar has a block for every full two percent, on a table of any size.
     """
     counts = gold.agg(
         F.count(F.lit(1)).alias("total"),
@@ -34,12 +33,10 @@ def intent_share(gold: DataFrame) -> DataFrame:
         F.struct(F.lit(i).alias("level_order"), F.lit(level).alias("intent_level"), F.col(level).alias("lead_count"))
         for i, level in enumerate(LEVELS, 1)
     ]))
-    per_block = F.greatest(F.lit(LEADS_PER_BLOCK), F.ceil(F.col("total") / LONGEST_BAR)).cast("bigint")
-    return counts.select("total", per_block.alias("leads_per_block"), rows.alias("r")).select(
+    return counts.select("total", rows.alias("r")).select(
         "r.*",
-        F.when(F.col("total") > 0, F.round(100 * F.col("r.lead_count") / F.col("total"), 1)).otherwise(0.0).alias("share_pct"),
-        "leads_per_block",
-        F.expr("repeat('█', cast(r.lead_count div leads_per_block as int))").alias("bar"),
+        F.when(F.col("total") > 0, F.bround(100 * F.col("r.lead_count") / F.col("total"), 1)).otherwise(0.0).alias("share_pct"),
+        F.expr(f"repeat('█', cast({WHOLE_BAR} * r.lead_count div greatest(total, 1) as int))").alias("bar"),
     )
 
 

@@ -27,10 +27,6 @@ def upper_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def lower_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.lower() for c in df.columns])
-
-
 def keep_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The listed columns that exist, in list order."""
     return df.select(*[c for c in columns if c in df.columns])

@@ -218,7 +218,7 @@ def _check(table: str, layer: str, no: int, kind: str, column: str | None = None
         status_sql = f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END"
         message = f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL — ' || {fail} END"
     only = lambda *kinds: "bad" if kind in kinds else "CAST(NULL AS BIGINT)"
-    pct = "CASE WHEN total > 0 THEN round(100.0::DOUBLE * bad / total, 2) ELSE 0 END" if kind == "null" else "CAST(NULL AS DOUBLE)"
+    pct = "CASE WHEN total > 0 THEN round_even(100.0::DOUBLE * bad / total, 2) ELSE 0 END" if kind == "null" else "CAST(NULL AS DOUBLE)"
     name = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
     valid = "'" + ",".join(values) + "'" if values else "CAST(NULL AS VARCHAR)"
     rows = f"CAST({min_rows} AS BIGINT)" if min_rows is not None else "CAST(NULL AS BIGINT)"
@@ -341,9 +341,8 @@ ORACLES: dict[str, str] = {
     "score_distribution": _with("""SELECT intent_level, count(lead_id) AS lead_count, avg(lead_score) AS avg_score
         FROM gold GROUP BY intent_level""", "gold"),
     "intent_share": _with("""SELECT level_order, l.intent_level, count(g.lead_id) AS lead_count,
-        CASE WHEN total > 0 THEN round(100::DOUBLE * count(g.lead_id) / total, 1) ELSE 0 END AS share_pct,
-        greatest(2, CAST(ceil(total / 1000::DOUBLE) AS BIGINT)) AS leads_per_block,
-        repeat('█', count(g.lead_id) // greatest(2, CAST(ceil(total / 1000::DOUBLE) AS BIGINT))) AS bar
+        CASE WHEN total > 0 THEN round_even(100::DOUBLE * count(g.lead_id) / total, 1) ELSE 0 END AS share_pct,
+        repeat('█', 50 * count(g.lead_id) // greatest(total, 1)) AS bar
         FROM (VALUES (1,'hot'),(2,'warm'),(3,'cool'),(4,'cold')) l(level_order, intent_level)
         CROSS JOIN (SELECT count(*) AS total FROM gold) n LEFT JOIN gold g ON g.intent_level = l.intent_level
         GROUP BY level_order, l.intent_level, total""", "gold"),
@@ -390,7 +389,7 @@ ORACLES: dict[str, str] = {
         WHERE source_count > 1""", "true"),
     "idr_stats": _identity("""SELECT CAST(sum(record_count) AS BIGINT) AS input_records, count(*) AS golden_records,
         CAST(sum(record_count) - count(*) AS BIGINT) AS duplicates_merged, count(*) FILTER (WHERE source_count > 1) AS multi_source_ids,
-        round(100::DOUBLE * (sum(record_count) - count(*)) / sum(record_count), 1) AS reduction_pct FROM golden""", "true"),
+        round_even(100::DOUBLE * (sum(record_count) - count(*)) / sum(record_count), 1) AS reduction_pct FROM golden""", "true"),
     "dq_no_nulls": _with(_checks("silver", "SILVER", *[("null", c) for c in ("lead_id", "email", "full_name", "company_name", "employee_count")]), "silver"),
     "dq_unique": _with(_checks("cleaned", "CLEANED", *[("unique", c) for c in ("lead_id", "email", "company_name")]), "cleaned"),
     "dq_values_in_set": _with(_checks("silver", "SILVER", ("set", "source", {"values": _SOURCES}),
@@ -404,8 +403,14 @@ ORACLES: dict[str, str] = {
     "dq_suite": _with(SUITE, "gold"),
     "dq_failures": _with(f'SELECT layer, expectation, "column", message FROM ({SUITE}) r WHERE NOT passed', "gold"),
     "dq_summary": _with(f"""SELECT count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed) AS failed,
-        count(*) FILTER (WHERE status = 'SKIP') AS skipped, round(100::DOUBLE * count(*) FILTER (WHERE passed) / count(*), 1) AS pass_rate
+        count(*) FILTER (WHERE status = 'SKIP') AS skipped, round_even(100::DOUBLE * count(*) FILTER (WHERE passed) / count(*), 1) AS pass_rate
         FROM ({SUITE}) r""", "gold"),
+    "dq_summary_halves": """SELECT CAST(16 AS BIGINT) AS total_checks, CAST(13 AS BIGINT) AS passed, CAST(3 AS BIGINT) AS failed,
+        CAST(0 AS BIGINT) AS skipped, round_even(100::DOUBLE * 13 / 16, 1) AS pass_rate
+        FROM (SELECT count(*) AS n FROM lineitem) t WHERE n >= 1""",
+    "json_report_latest": """SELECT 'ORDERS' AS layer, check_no, expectation, status, passed, (SELECT count(*) FROM orders) AS total_rows
+        FROM (VALUES (1, 'expect_row_count_above', 'FAIL', false), (2, 'expect_column_no_nulls', 'PASS', true))
+        t(check_no, expectation, status, passed)""",
     "dq_lineitem": _checks("lineitem", "LINEITEM", ("rows", None, {"min_rows": 1}), ("null", "l_orderkey"), ("unique", "l_orderkey"),
                            ("set", "l_returnflag", {"values": ("A", "N")}), ("null", "l_shipdate")),
     "dq_documents": _checks("documents", "DOCUMENTS", ("rows", None, {"min_rows": 1}), ("null", "text"),
@@ -414,7 +419,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'record_count', 'silver', count(*) FROM silver UNION ALL SELECT 'record_count', 'gold', count(*) FROM gold
         UNION ALL SELECT 'leads_by_level', l, count(g.lead_id) FROM (VALUES ('hot'),('warm'),('cool'),('cold')) v(l)
           LEFT JOIN gold g ON g.intent_level = l GROUP BY l
-        UNION ALL SELECT 'avg_lead_score', 'all', round(avg(lead_score), 2) FROM gold
+        UNION ALL SELECT 'avg_lead_score', 'all', round_even(avg(lead_score), 2) FROM gold
         UNION ALL SELECT 'pipeline_runs_total', 'all', 1""", "gold"),
     "layer_health": " UNION ALL ".join(
         f"SELECT '{t}' AS layer, 'OK' AS status, CAST(1 AS BIGINT) AS files, count(*) AS rows FROM {t}" for t in ("customer", "orders", "lineitem", "events")
@@ -434,6 +439,12 @@ ORACLES: dict[str, str] = {
         CASE WHEN intent_level = 'hot' THEN 'high' ELSE 'medium' END AS urgency,
         {', '.join(f"CASE WHEN intent_level <> 'hot' THEN {_INTENT_FALLBACK[k]} END AS {k}" for k in ('deal_size_estimate', 'next_best_action', 'ai_reasoning'))}
         FROM gold""", "gold"),
+    "insights_merge_duplicates": _with("""SELECT lead_id, CASE WHEN intent_level = 'hot' THEN 10 ELSE 50 END AS intent_score
+        FROM gold""", "gold"),
+    "insights_overlay_extra": _with("""SELECT lead_id, CASE WHEN intent_level = 'hot' THEN 'new@example.com' ELSE email END AS email,
+        CASE WHEN intent_level = 'hot' THEN 7 ELSE employee_count END AS employee_count,
+        CASE WHEN intent_level = 'hot' THEN 'high' ELSE 'medium' END AS urgency,
+        CASE WHEN intent_level = 'hot' THEN '{"note":"call","tags":"[\\"a\\",\\"b\\"]"}' ELSE '{}' END AS extra FROM gold""", "gold"),
     "insights_rejected": _with("SELECT lead_id, '[1, 2]' AS response FROM gold WHERE intent_level = 'cool'", "gold"),
     "insights_select": _with(f"""SELECT lead_id AS "LEAD_ID", full_name AS "FULL_NAME", email AS "EMAIL", company_name AS "COMPANY_NAME",
         industry AS "INDUSTRY", seniority AS "SENIORITY", lead_score AS "LEAD_SCORE", 50 AS "INTENT_SCORE", 'cool' AS "INTENT_LEVEL",
@@ -445,6 +456,8 @@ ORACLES: dict[str, str] = {
         'Company: '||company_name, 'Industry: '||industry, 'Employee count: '||coalesce(CAST(employee_count AS VARCHAR),'None'),
         'Email domain: Unknown', 'Answer in JSON.') AS user_prompt FROM local_gold""", "local_gold"),
     "activation_leads": _with("SELECT * FROM active", "gold", more=ACTIVE),
+    "activation_ranked": _with("""SELECT lead_id, intent_score, row_number() OVER (ORDER BY intent_score DESC, lead_id) AS rank
+        FROM active""", "gold", more=ACTIVE),
     "alert_text": _with("SELECT * FROM alerts", "gold", more=ACTIVE),
     "alert_payload": _with("""SELECT lead_id, CAST(to_json({'blocks': [
           to_json({'type': 'header', 'text': {'type': 'plain_text', 'text': header}}),
@@ -470,6 +483,15 @@ ORACLES: dict[str, str] = {
                                                          "company_name", "company_domain", "industry", "lead_status", "ingested_at")
     ) + ', employee_count AS "EMPLOYEE_COUNT", apollo_score AS "APOLLO_SCORE" FROM leads', "leads"),
     "warehouse_prepare_unified": _with('SELECT lead_id AS "LEAD_ID", email AS "EMAIL", seniority AS "SENIORITY", industry AS "INDUSTRY" FROM leads', "leads"),
+    "warehouse_roundtrip": _with("""SELECT nullif(lead_id,'None') AS lead_id, nullif(email,'None') AS email, lead_score, intent_level
+        FROM gold""", "gold"),
+    "batch_pipeline": _with(f"""SELECT c.*, gold_rows, gold_score FROM (
+        SELECT count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed) AS failed,
+        count(*) FILTER (WHERE status = 'SKIP') AS skipped, round_even(100::DOUBLE * count(*) FILTER (WHERE passed) / count(*), 1) AS pass_rate
+        FROM ({SUITE}) r) c, (SELECT count(*) AS gold_rows, CAST(sum(lead_score) AS BIGINT) AS gold_score FROM gold) g""", "gold"),
+    "landed_messages": _with("""SELECT CASE source WHEN 'apollo' THEN 'apollo_leads' ELSE 'crm_events' END AS topic, lead_id AS key
+        FROM leads""", "leads"),
+    "stream_restart": _with("SELECT lead_id, source, email, 'leads' AS topic FROM leads", "leads"),
     "stream_bronze": _with("SELECT *, lead_id AS kafka_key, 'leads' AS topic, false AS is_corrupt, 'bronze' AS layer FROM leads", "leads"),
     "stream_silver": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
     "stream_silver_table": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from leadlake.operators import identity, insights, medallion, quality, summary, warehouse
 from leadlake.schemas import BRONZE_LEAD
@@ -49,10 +49,10 @@ def latest_layer(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
     return tables.latest_snapshot(tables.read_layer(spark, layout.path(layer))).drop("run_id")
 
 
-def check_layers(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Quality results of the three layers of the newest run."""
+def check_layers(spark: SparkSession, layout: Layout, now: Column | None = None) -> DataFrame:
+    """Quality results of the three layers of the newest run; ``now`` fixes the clock."""
     names = {"BRONZE": "bronze/leads", "SILVER": "silver/leads", "GOLD": "gold/lead_scores"}
-    return quality.run_layers({name: latest_layer(spark, layout, layer) for name, layer in names.items()})
+    return quality.run_layers({name: latest_layer(spark, layout, layer) for name, layer in names.items()}, now=now)
 
 
 def publish_models(raw: DataFrame, bronze: str = "bronze_leads", silver: str = "silver_leads",

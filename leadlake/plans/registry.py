@@ -14,6 +14,7 @@ from leadlake.functions import scoring, text
 from leadlake.operators import (
     activation, components, identity, insights, medallion, monitoring, quality, summary, warehouse,
 )
+from leadlake.plans import pipeline
 from leadlake.plans.fixtures import leads, leads_from, messages, table
 from leadlake.session import scratch_path
 from leadlake.sources import generator, payloads, tables
@@ -406,6 +407,26 @@ def dq_summary(spark, sf):
     return quality.summary(_suite(spark, sf))
 
 
+@query
+def dq_summary_halves(spark, sf):
+    """13 of 16 checks pass, which is an exact half at one decimal."""
+    checks = [quality.row_count_above(1)] * 13 + [quality.row_count_above(10**12)] * 3
+    return quality.summary(quality.run_suite(table(spark, sf, "lineitem"), checks, "LINEITEM", _clock()))
+
+
+@query
+def json_report_latest(spark, sf):
+    """Two reports are written; the newer one is read back."""
+    folder = scratch_path(spark, "reports")
+    columns = ("layer", "check_no", "expectation", "status", "passed", "total_rows")
+    for limit in (1, 10**12):
+        results = quality.run_suite(table(spark, sf, "orders"), [quality.row_count_above(limit), quality.no_nulls("o_orderkey")],
+                                    "ORDERS", _clock())
+        monitoring.write_report(results.select(*columns), folder)
+    return monitoring.latest_report(spark, folder, "layer string, check_no int, expectation string, status string, "
+                                                   "passed boolean, total_rows long")
+
+
 @query
 def dq_lineitem(spark, sf):
     checks = [
@@ -476,6 +497,26 @@ def insights_merge(spark, sf):
     return merged.select("lead_id", "lead_score", *_INTENT_COLUMNS)
 
 
+@query
+def insights_merge_duplicates(spark, sf):
+    """Several answers for a lead count as one: usable ones first, then by text."""
+    gold = _gold(spark, sf)
+    hot = gold.filter("intent_level = 'hot'").select("lead_id")
+    answers = hot.select("lead_id", F.explode(F.array(*map(F.lit, (
+        '{"intent_score": 90}', "no json here", '{"intent_score": 10}')))).alias("response"))
+    return insights.run_stage(gold, insights.INTENT, answers).select("lead_id", "intent_score")
+
+
+@query
+def insights_overlay_extra(spark, sf):
+    """An answer replaces columns of the lead in their type; what names no column is kept as text."""
+    gold = _gold(spark, sf)
+    answer = '{"email": "new@example.com", "employee_count": 7, "urgency": "high", "note": "call", "tags": ["a", "b"]}'
+    answers = gold.filter("intent_level = 'hot'").select("lead_id", F.lit(answer).alias("response")).distinct()
+    merged = insights.run_stage(gold, insights.INTENT, answers)
+    return merged.select("lead_id", "email", "employee_count", "urgency", F.to_json("extra").alias("extra"))
+
+
 @query
 def insights_rejected(spark, sf):
     return insights.rejected_responses(_responses(_gold(spark, sf)))
@@ -511,6 +552,11 @@ def activation_leads(spark, sf):
     return activation.activation_leads(_scored_insights(spark, sf)).drop("processed_at")
 
 
+@query
+def activation_ranked(spark, sf):
+    return activation.activation_leads(_scored_insights(spark, sf), ranked=True).select("lead_id", "intent_score", "rank")
+
+
 @query
 def alert_text(spark, sf):
     active = activation.activation_leads(_scored_insights(spark, sf))
@@ -566,6 +612,38 @@ def warehouse_prepare_unified(spark, sf):
     )
 
 
+@query
+def warehouse_roundtrip(spark, sf):
+    """Bronze view, silver and gold tables; the gold table is loaded again in upper case and fetched in lower case."""
+    run = spark.sparkContext.applicationId.replace("-", "_")
+    pipeline.publish_models(leads(spark, sf), *(f"{name}_{run}" for name in ("bronze_leads", "silver_leads", "gold_scores")))
+    gold = spark.table(f"gold_scores_{run}")
+    loaded = warehouse.load_table(warehouse.prepare_for_warehouse(gold), f"warehouse_gold_{run}")
+    assert loaded
+    return tables.fetch_insights(spark, f"warehouse_gold_{run}").select("lead_id", "email", "lead_score", "intent_level")
+
+
+@query
+def batch_pipeline(spark, sf):
+    """All layers written and read back, checked from their stored form."""
+    layout = pipeline.Layout(scratch_path(spark, "lake"))
+    pipeline.run_batch(spark, leads(spark, sf), layout, "2026-06-15")
+    return quality.summary(pipeline.check_layers(spark, layout, _clock())).crossJoin(
+        pipeline.latest_layer(spark, layout, "gold/lead_scores").agg(
+            F.count(F.lit(1)).alias("gold_rows"), F.sum("lead_score").alias("gold_score")))
+
+
+@query
+def landed_messages(spark, sf):
+    """Landed payloads of both sources as keyed messages of their topics."""
+    raw = leads(spark, sf)
+    people = raw.filter("source = 'apollo'").select(F.to_json(F.struct(F.col("lead_id").alias("id"), "email")).alias("payload"))
+    contacts = raw.filter("source = 'hubspot'").select(F.to_json(F.struct(
+        F.col("lead_id").alias("id"), F.struct("email").alias("properties"))).alias("payload"))
+    topics = pipeline.land_and_publish(people, contacts)
+    return tables.union_by_name(*(df.select(F.lit(topic).alias("topic"), "key") for topic, df in topics.items()))
+
+
 # ----------------------------------------------------------------------------------------------- streaming
 
 def _message_stream(spark, sf):
@@ -591,6 +669,14 @@ def stream_bronze(spark, sf):
     return spark.read.parquet(f"{folder}/bronze").select(*_BRONZE_OUT, "kafka_key", "topic", "is_corrupt", "layer")
 
 
+@query
+def stream_restart(spark, sf):
+    """A second start on the same checkpoint adds nothing."""
+    folder = _streamed_bronze(spark, sf)
+    jobs.start_bronze(_message_stream(spark, sf), f"{folder}/bronze", f"{folder}/cp_bronze", every=None).awaitTermination()
+    return spark.read.parquet(f"{folder}/bronze").select("lead_id", "source", "email", "topic")
+
+
 @query
 def stream_silver(spark, sf):
     """State-based deduplication keeps an arbitrary row per key, so only the keys are compared."""

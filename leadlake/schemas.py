@@ -8,17 +8,6 @@ BRONZE_LEAD = (
     "event_type string"
 )
 
-SILVER_LEAD = (
-    "lead_id string, source string, full_name string, email string, email_domain string, job_title string, "
-    "seniority string, company_name string, company_domain string, industry string, employee_count int, "
-    "lead_status string, processed_at timestamp, layer string"
-)
-
-# Message envelope as a broker delivers it.
-ENVELOPE = (
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
-)
-
 PERSON_PAYLOAD = (
     "id string, first_name string, last_name string, email string, title string, seniority string, "
     "linkedin_url string, score double, organization struct<name: string, primary_domain: string, "

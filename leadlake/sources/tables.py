@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +32,10 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, run_id: str) -> None:
-    """Add one run to a table that is partitioned by ``run_id``; repeating a run replaces only that run."""
-    (
-        df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
-    )
+    """Add one run to a table that is partitioned by ``run_id``; repeating a run replaces only that run,
+    also by no rows."""
+    folder = quote(run_id, safe=" .,-_+@()$&!;~|<>")  # as Spark names partition folders
+    df.drop("run_id").write.mode("overwrite").parquet(f"{path}/run_id={folder}")
 
 
 def latest_snapshot(df: DataFrame, run_column: str = "run_id") -> DataFrame:

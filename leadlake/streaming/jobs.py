@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from leadlake import profiles
 from leadlake.operators.dedup import keep_first
 from leadlake.operators.medallion import clean_leads, parse_envelope
+from leadlake.operators.monitoring import ABSENT
 from leadlake.schemas import BRONZE_LEAD
 
 BRONZE_TRIGGER = "30 seconds"
@@ -92,8 +93,10 @@ def append_new_keys(batch: DataFrame, path: str, keys: list[str]) -> None:
             wanted = F.broadcast(wanted)
         try:
             table = batch.sparkSession.read.parquet(path).select(*keys)
-        except AnalysisException:  # first batch: no table yet
-            new = fresh
+        except AnalysisException as error:
+            if error.getCondition() not in ABSENT:
+                raise
+            new = fresh  # first batch: no table yet
         else:
             match = lambda left, right: reduce(and_, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
             known = table.join(wanted, match(table, wanted), "left_semi").distinct().toDF(*[f"_{k}" for k in keys])

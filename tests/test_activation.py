@@ -58,26 +58,26 @@ def test_prompt_defaults(spark):
 def test_alert_payload(spark):
     leads = activation.activation_leads(generator.sample_insights(spark))
     rows = {r.lead_id: json.loads(r.p) for r in leads.select("lead_id", activation.alert_payload(leads.columns).alias("p")).collect()}
-    blocks = rows["lead_0002"]["blocks"]
+    blocks = rows["sample_1"]["blocks"]
     assert [b["type"] for b in blocks] == ["header", "section", "section", "section", "section", "divider"]
-    assert blocks[0]["text"] == {"type": "plain_text", "text": "🔥 Hot Lead Alert — Bob Smith"}
-    assert blocks[1]["fields"][2]["text"] == "*Intent Score:*\n92/100" and blocks[1]["fields"][3]["text"] == "*Urgency:*\n⚡ high"
-    assert blocks[3]["text"]["text"] == "*📧 Suggested Email Subject:*\n_N/A_" and blocks[5] == {"type": "divider"}
-    assert rows["lead_0020"]["blocks"][0]["text"]["text"].startswith("☀️")
+    assert blocks[0]["text"] == {"type": "plain_text", "text": "🔥 Hot Lead Alert — Ines Okafor"}
+    assert blocks[1]["fields"][2]["text"] == "*Intent Score:*\n95/100" and blocks[1]["fields"][3]["text"] == "*Urgency:*\n🚨 critical"
+    assert blocks[3]["text"]["text"] == "*📧 Suggested Email Subject:*\n_An idea for Northwind_" and blocks[5] == {"type": "divider"}
+    assert rows["sample_2"]["blocks"][0]["text"]["text"].startswith("☀️")
 
 
 def test_workflow_payload(spark):
     leads = activation.activation_leads(generator.sample_insights(spark))
-    body = json.loads(leads.filter("lead_id = 'lead_0002'").select(activation.workflow_payload(leads.columns)).first()[0])
+    body = json.loads(leads.filter("lead_id = 'sample_1'").select(activation.workflow_payload(leads.columns)).first()[0])
     assert body["workflow_type"] == "hot_lead" and set(body["lead"]) == set(activation.WORKFLOW_FIELDS)
-    assert body["lead"]["intent_score"] == 92 and body["lead"]["linkedin_message"] is None
+    assert body["lead"]["intent_score"] == 95 and body["lead"]["linkedin_message"] == "Hello Ines"
 
 
 def test_outbox_sends_once(spark):
     leads = activation.activation_leads(generator.sample_insights(spark), ranked=True)
-    assert [r.intent_score for r in leads.collect()] == [92, 88, 72]
+    assert [r.intent_score for r in leads.collect()] == [95, 72]
     first = activation.outbox(leads)
-    assert first.count() == first.select("delivery_id").distinct().count() == 6
+    assert first.count() == first.select("delivery_id").distinct().count() == 4
     assert activation.outbox(leads, first).isEmpty()
     assert activation.outbox(leads, first.filter("channel = 'slack'")).select("channel").distinct().collect()[0][0] == "n8n"
 
