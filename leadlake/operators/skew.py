@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadlake.session import cut_lineage
+
 # A key is hot when it has more than 1/HOT_SHARE of the rows. There are fewer than HOT_SHARE such keys,
 # whatever the size of the table, so a table of hot keys is always small enough to broadcast.
 HOT_SHARE = 1000
 # Below this many rows a key is never hot.
 HOT_ROWS = 100_000
-SALTS = 64
 
 
 def hot_limit(total: int) -> int:
@@ -27,6 +28,7 @@ def skew_safe_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, to
     limit = hot_limit(total)
     if total <= limit:
         return big.join(small.drop(weight), key)
+    small = cut_lineage(small)  # read three times
     hot = F.broadcast(small.filter(F.col(weight) > limit).drop(weight))
     heavy = big.join(hot, key)
     light = big.join(hot.select(key), key, "left_anti").join(small.filter(F.col(weight) <= limit).drop(weight), key)
@@ -34,16 +36,17 @@ def skew_safe_lookup(big: DataFrame, small: DataFrame, key: str, weight: str, to
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, total: int) -> DataFrame:
-    """Inner join where hot keys of ``big`` (at most ``total`` rows) are split over SALTS tasks and their rows of ``small`` repeated
-    that often. Both sides may have several rows per key; only the list of hot keys is broadcast."""
+    """Inner join where hot keys of ``big`` (at most ``total`` rows) are split into parts of about ``hot_limit`` rows and their rows of
+    ``small`` repeated for each part. Both sides may have several rows per key; only the list of hot keys is broadcast."""
     limit = hot_limit(total)
     if total <= limit:
         return big.join(small, key)
     hot = F.broadcast(
-        big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(key, F.lit(True).alias("_hot"))
+        big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+        .select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
     )
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")
-    left = big.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = small.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    parts = F.coalesce("_parts", F.lit(1))
+    spread = F.pmod(F.xxhash64(*big.columns), parts).cast("int")
+    left = big.join(hot, key, "left").withColumn("_salt", spread).drop("_parts")
+    right = small.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return left.join(right, [key, "_salt"]).drop("_salt")

@@ -72,7 +72,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _LANDED:
         path = scratch_path(spark, "raw-leads")
         derived = leads_from(spark, table(spark, sf_dir, "customer"))
-        derived.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        derived.write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 

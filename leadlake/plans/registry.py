@@ -16,7 +16,8 @@ from leadlake.operators import (
 )
 from leadlake.plans import pipeline
 from leadlake.plans.fixtures import leads, leads_from, messages, table
-from leadlake.session import scratch_path
+from leadlake.operators.skew import skew_safe_lookup
+from leadlake.session import cut_lineage, scratch_path
 from leadlake.sources import generator, payloads, tables
 from leadlake.sources import messages as broker
 from leadlake.streaming import jobs
@@ -242,10 +243,17 @@ def top5_leads(spark, sf):
     return summary.top_by_score(_gold(spark, sf))
 
 
+def _stored_layers(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Silver and gold, each computed once."""
+    silver = cut_lineage(_silver(spark, sf))
+    return silver, cut_lineage(medallion.gold_leads(silver).drop("scored_at"))
+
+
 @query
 def layer_counts(spark, sf):
+    silver, gold = _stored_layers(spark, sf)
     return monitoring.layer_counts({
-        "raw": leads(spark, sf), "bronze": _bronze(spark, sf), "silver": _silver(spark, sf), "gold": _gold(spark, sf),
+        "raw": leads(spark, sf), "bronze": _bronze(spark, sf), "silver": silver, "gold": gold,
         "lineitem": table(spark, sf, "lineitem"), "events": table(spark, sf, "events"),
     })
 
@@ -299,11 +307,12 @@ def idr_pair_priority(spark, sf):
 @query
 def connected_components(spark, sf):
     """Leads linked by the same email or by the same name and company domain, so that chains occur."""
-    people = _cleaned(spark, sf).select("lead_id", "email", "full_name", "company_domain")
+    people = cut_lineage(_cleaned(spark, sf).select("lead_id", "email", "full_name", "company_domain"))
+    total = people.count()
     def star(keys):
         known = people.dropna(subset=keys)
-        first = known.groupBy(*keys).agg(F.min("lead_id").alias("dst"))
-        return known.join(first, keys).filter("lead_id > dst").select(F.col("lead_id").alias("src"), "dst")
+        first = known.groupBy(*keys).agg(F.min("lead_id").alias("dst"), F.count(F.lit(1)).alias("size"))
+        return skew_safe_lookup(known, first, keys, "size", total).filter("lead_id > dst").select(F.col("lead_id").alias("src"), "dst")
     return components.connected_components(star(["email"]).unionByName(star(["full_name", "company_domain"])))
 
 
@@ -387,9 +396,9 @@ def dq_email_format(spark, sf):
 
 
 def _suite(spark, sf):
+    silver, gold = _stored_layers(spark, sf)
     return quality.run_layers(
-        {"BRONZE": leads(spark, sf), "SILVER": _silver_as_stored(spark, sf), "GOLD": _gold(spark, sf)}, now=_clock()
-    )
+        {"BRONZE": leads(spark, sf), "SILVER": silver.withColumn("ingested_at", _time_text()), "GOLD": gold}, now=_clock())
 
 
 @query
@@ -447,8 +456,8 @@ def dq_documents(spark, sf):
 
 @query
 def metrics_snapshot(spark, sf):
-    layers = {"bronze": _bronze(spark, sf), "silver": _silver(spark, sf), "gold": _gold(spark, sf)}
-    return monitoring.metrics_snapshot(layers, _gold(spark, sf)).drop("snapshot_at")
+    silver, gold = _stored_layers(spark, sf)
+    return monitoring.metrics_snapshot({"bronze": _bronze(spark, sf), "silver": silver, "gold": gold}, gold).drop("snapshot_at")
 
 
 @query
@@ -537,7 +546,7 @@ def prompt_render(spark, sf):
 
 def _scored_insights(spark, sf):
     """Insights whose level comes from the lead score, so that hot and warm leads exist."""
-    gold = _gold(spark, sf)
+    gold = cut_lineage(_gold(spark, sf))
     answers = gold.select("lead_id", F.to_json(F.struct(
         F.col("lead_score").alias("intent_score"), "intent_level",
         F.when(F.col("intent_level") == "hot", "critical").otherwise("medium").alias("urgency"),
@@ -577,7 +586,7 @@ def workflow_payload(spark, sf):
 
 
 def _outbox(spark, sf):
-    active = activation.activation_leads(_scored_insights(spark, sf))
+    active = cut_lineage(activation.activation_leads(_scored_insights(spark, sf)))
     first = activation.outbox(active.filter("intent_level = 'hot'"), triggered_at=F.lit(CLOCK))
     return first, activation.outbox(active, first.filter("channel = 'slack'"), triggered_at=F.lit(CLOCK))
 

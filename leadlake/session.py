@@ -8,8 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that matter for these jobs. AQE picks the number of reducers from the advisory size, splits
-# skewed join partitions and demotes joins to broadcast only when the measured side is below the threshold.
+# Settings that matter for these jobs. AQE merges reducers up to the advisory size, splits skewed join partitions and
+# demotes joins to broadcast only when the measured side is below the threshold. It never uses more reducers than
+# spark.sql.shuffle.partitions: set that to about the shuffled bytes over the advisory size (``reducers_for``).
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,6 +25,11 @@ DEFAULTS = {
 }
 
 
+def reducers_for(shuffled_bytes: int, advisory: int = 128 << 20) -> int:
+    """A value of spark.sql.shuffle.partitions for jobs that shuffle so many bytes."""
+    return max(200, -(-shuffled_bytes // advisory))
+
+
 def build_session(app: str = "leadlake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; keyword settings win."""
     builder = SparkSession.builder.appName(app)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,8 @@ from leadlake.schemas import BRONZE_LEAD
 
 BRONZE_TRIGGER = "30 seconds"
 SILVER_TRIGGER = "60 seconds"
-# Most keys of a micro-batch that are broadcast (two short texts each, so some tens of megabytes).
-BROADCAST_KEYS = 200_000
+# Most bytes of a micro-batch's keys that are broadcast.
+BROADCAST_BYTES = 32 << 20
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -83,13 +83,14 @@ def start_silver(bronze: DataFrame, path: str, checkpoint: str, every: str | Non
 def append_new_keys(batch: DataFrame, path: str, keys: list[str]) -> None:
     """Append the first row of each key that the table at ``path`` does not have (null keys compare equal).
 
-    The table is scanned for its key columns only. While the batch has few keys they are broadcast and the table
+    The table is scanned for its key columns only. While the keys of the batch are small by counted bytes they are broadcast and the table
     is not shuffled; a larger batch is joined by shuffle.
     """
     fresh = keep_first(batch, keys, [F.col("lead_id").asc_nulls_last()]).persist()
     try:
         wanted = fresh.select(*[F.col(k).alias(f"_{k}") for k in keys])
-        if fresh.count() <= BROADCAST_KEYS:
+        size = reduce(add, [F.coalesce(F.octet_length(k), F.lit(0)) + 16 for k in keys])
+        if (fresh.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
             wanted = F.broadcast(wanted)
         try:
             table = batch.sparkSession.read.parquet(path).select(*keys)
