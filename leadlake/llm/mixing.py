@@ -2,8 +2,9 @@
 
 Every source may give each document up to ``MAX_EPOCHS`` times. The copies of a source are shuffled (by a hash of document and
 epoch, so reruns agree), and each gets a virtual finish time: the words of its source up to and including
-it, divided by the source's target. All copies in the order of their finish times, cut where the budget of words is reached,
-are the mix: at any point of this order all sources have come equally far towards their targets.
+it, divided by the source's target. All copies in the order of their finish times are the mix: at any point of this order all
+sources have come equally far towards their targets. Targets add up to the budget, so the total reaches it at time 1; a copy
+that is being taken then is cut to the words its source still lacks, and what would begin later is left out.
 
 Running totals are kept in two steps (totals of narrow slices, then rows within a slice), so neither a
 large source nor the global order meets one task.
@@ -53,11 +54,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)``, one row per document, whether taken or not.
+    """``(doc_id, source, size, source_size, target, taken, finishes)``, one row per document, whether taken or not.
 
-    ``taken`` counts the words of all copies taken; copies are whole, so the copy at the budget's edge is taken only if at
-    least half of it fits. Null text has size 0 and takes nothing; null is a source of its own; rows that repeat are
-    documents of their own. Documents of equal hash are ordered by id, size and row, so reruns give
+    ``taken`` counts the words of all copies taken; only the copy at its source's target may be cut. ``finishes`` has the finish time
+    of each copy of which at least half is taken. Null text has size 0 and takes nothing; null is a source of its own; rows that
+    repeat are documents of their own. Documents of equal hash are ordered by id, size and row, so reruns give
     the same rows. Other columns are ignored.
     """
     sizes = cut_lineage(docs.select(
@@ -79,33 +80,38 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     shuffled = ("epoch", "key", "doc_id", "size", "row")
     inside = F.sum("size").over(Window.partitionBy("place", "part").orderBy(*shuffled).rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
-    finish = (F.col("before") + F.col("inside")) / F.col("target")
+    start = F.col("before") + F.col("inside") - F.col("size")
     timed = drawn.withColumn("inside", inside).join(
-        running_start(drawn, ["place"], "part", F.col("size"), "before"), ["place", "part"]).withColumn(
-        "finish", finish).select("row", "size", "place", *[c for c in shuffled if c not in ("size", "row")], "finish",
-                                 F.floor(F.col("finish") * slices).alias("slice"))
-    timed = cut_lineage(timed)
-    # over all sources: the order of finish times, again slice by slice
-    before = running_start(timed, [], "slice", F.col("size"), "before")
+        running_start(drawn, ["place"], "part", F.col("size"), "before"), ["place", "part"]).select(
+        "row", "size", "place", "epoch", "key", "doc_id",
+        F.least("size", F.floor("target") - start).alias("words"),
+        F.least((start + F.col("size")) / F.col("target"), F.lit(1.0)).alias("finish")).filter("words > 0")
+    timed = cut_lineage(timed.withColumn("slice", F.floor(F.col("finish") * slices)))
+    # over all sources: the order of finish times, again slice by slice, up to the budget
+    before = running_start(timed, [], "slice", F.col("words"), "before")
     budget = sizes.agg((F.sum("size") * F.lit(share)).alias("budget"))  # one row
-    reached = F.sum("size").over(Window.partitionBy("slice").orderBy("finish", "place", *shuffled).rowsBetween(
+    reached = F.sum("words").over(Window.partitionBy("slice").orderBy("finish", "place", *shuffled).rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
     taken = timed.withColumn("reached", reached).join(before, "slice").join(F.broadcast(budget)).filter(
-        F.col("before") + F.col("reached") - F.col("size") / 2 <= F.col("budget")).groupBy("row").agg(
-        F.sum("size").alias("taken"))
+        F.col("before") + F.col("reached") <= F.col("budget")).groupBy("row").agg(
+        F.sum("words").alias("taken"),
+        F.sort_array(F.collect_list(F.when(2 * F.col("words") >= F.col("size"), F.col("finish")))).alias("finishes"))
     return sizes.join(taken, "row", "left").join(
         targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("finishes", F.array().cast("array<double>")).alias("finishes"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes it."""
-    shares = mix(docs, **options).filter("taken > 0").select(
-        "doc_id", "source", "size", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    wanted = shares.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))))
+    """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes at least half of it.
+
+    Rows are range-sorted by finish time, so any prefix of the table is mixed in the same proportions.
+    """
+    wanted = mix(docs, **options).filter(F.size("finishes") > 0).select("doc_id", "source", "size", "finishes").withColumn(
+        "n", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("finishes")))
     rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("origin"),
                        word_count().alias("words"), "text")
     numbered = rows.withColumn("place", F.row_number().over(Window.partitionBy("id", "origin", "words").orderBy("text")))
     taken = numbered.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("origin").eqNullSafe(F.col("source"))
                           & (F.col("words") == F.col("size")) & (F.col("place") == F.col("n")))
-    return taken.select("kept", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*unpacked(docs))
+    return taken.select("kept", "id", F.explode("finishes").alias("finish")).orderBy("finish", "id").select(*unpacked(docs))

@@ -36,7 +36,7 @@ def op7_sharding(spark, sf_dir):
 
 @query
 def op9_mixing(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "finishes")
 
 
 ORACLES["op9_mixing"] = r"""
@@ -63,17 +63,18 @@ drawn AS (
          md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(epoch AS VARCHAR)) AS key
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, (VALUES (1), (2)) e(epoch)
   WHERE size > 0),
-timed AS (
+summed AS (
   SELECT *, sum(size) OVER (PARTITION BY place ORDER BY epoch, key, doc_id, size, row
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / target AS finish
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS done
   FROM drawn),
+timed AS (
+  SELECT *, least(size, CAST(floor(target) AS BIGINT) - (done - size)) AS words, least(done / target, 1.0) AS finish FROM summed),
 reached AS (
-  SELECT *, sum(size) OVER (ORDER BY finish, place, epoch, key, doc_id, size, row
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS words
-  FROM timed),
+  SELECT *, sum(words) OVER (ORDER BY finish, place, epoch, key, doc_id, size, row
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+  FROM timed WHERE words > 0),
 taken AS (
-  SELECT row, sum(size) AS taken FROM reached
-  WHERE words - size / 2.0 <= (SELECT 1.5 * sum(size) FROM sizes) GROUP BY row)
+  SELECT row, sum(words) AS taken FROM reached WHERE total <= (SELECT 1.5 * sum(size) FROM sizes) GROUP BY row)
 SELECT s.doc_id, s.size, t.source_size, CAST(t.target AS DOUBLE) AS target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
 FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN taken k ON s.row = k.row
 """

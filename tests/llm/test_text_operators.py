@@ -347,13 +347,13 @@ def test_mixing_targets_and_rows(spark, edge, empty):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count()
-    sizes, targets, taken = Counter(), {}, Counter()
+    sizes, targets, taken, cut = Counter(), {}, Counter(), Counter()
     for r in rows:
-        assert r.taken in (0, r.size, 2 * r.size)
+        assert 0 <= r.taken <= 2 * r.size
+        cut[r.source] += r.taken not in (0, r.size, 2 * r.size)
         sizes[r.source] += r.size
         targets[r.source] = r.target
         taken[r.source] += r.taken
-    largest = max(r.size for r in rows)
     weights = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(sizes))}
     goal, open_ = dict.fromkeys(sizes, 0.0), set(sizes)
     while True:  # share by weight until no target is above its limit
@@ -367,15 +367,14 @@ def test_mixing_targets_and_rows(spark, edge, empty):
         open_ -= full
     for s in sizes:
         assert math.isclose(targets[s], goal[s], rel_tol=1e-9)
-        assert abs(taken[s] - targets[s]) <= 2 * largest
-    assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= largest
-    assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.mix(docs.repartition(3)).collect()))
+        assert targets[s] - 1 <= taken[s] <= targets[s] and cut[s] <= 1
+    assert Counter(map(str, rows)) == Counter(map(str, mixing.mix(docs.repartition(3)).collect()))
     got = mixing.mix(edge).collect()
     assert len(got) == len(edge_rows()) and all(r.taken == 0 for r in got if r.size == 0)
     assert mixing.mix(empty).count() == 0
     mixed = mixing.mixed_documents(edge)
     assert mixed.columns == edge.columns
-    assert sum(len(re.findall(WORD, r.text)) for r in mixed.collect()) == sum(r.taken for r in got)
+    assert mixed.count() == sum(len(r.finishes) for r in got) > 0
 
 
 # -------------------------------------------------------------------------------------------------- pii
