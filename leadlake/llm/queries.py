@@ -128,3 +128,33 @@ def op1_suffix_dedup(spark, sf_dir):
 @query
 def op8_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_suffix_dedup"] = """
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS data FROM documents),
+prefixes AS (
+  SELECT row, i, md5(data[i + 1:i + 400]) AS prefix FROM (
+    SELECT row, data, unnest(range(0, CAST(octet_length(data) - 399 AS BIGINT))) AS i FROM texts
+    WHERE octet_length(data) >= 400)),
+repeated AS (SELECT prefix FROM prefixes GROUP BY prefix HAVING count(*) > 1),
+hits AS (
+  SELECT row, i, coalesce(i > lag(i) OVER (PARTITION BY row ORDER BY i) + 400, true) AS fresh
+  FROM prefixes SEMI JOIN repeated USING (prefix)),
+spans AS (
+  SELECT row, min(i) AS a, max(i) + 400 AS b FROM (
+    SELECT row, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY row ORDER BY i) AS span FROM hits)
+  GROUP BY row, span),
+pieces AS (
+  SELECT row, a, b, CASE WHEN a > before THEN hex(data[before + 1:a]) ELSE '' END AS piece, data FROM (
+    SELECT s.row, a, b, data, coalesce(lag(b) OVER (PARTITION BY s.row ORDER BY a), 0) AS before
+    FROM spans s JOIN texts t ON s.row = t.row)),
+kept AS (
+  SELECT row, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(piece, '' ORDER BY a)
+         || CASE WHEN max(b) < octet_length(any_value(data)) THEN hex(any_value(data)[max(b) + 1:octet_length(any_value(data))])
+            ELSE '' END AS digits
+  FROM pieces GROUP BY row)
+SELECT doc_id, CAST(octet_length(data) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(k.digits), data)) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.row = k.row
+"""
