@@ -4,11 +4,13 @@ Every container element of a page is hashed with all it contains. Spark counts o
 occurs; subtrees that recur on many pages of their host are its template (menus, banners, notices) and are deleted. What is
 boilerplate by its element or class goes too, even if it occurs once. Paragraphs and headings are never deleted as
 template, because an article may quote the same sentence as another, nor is a subtree with most of the page's text.
+
+A class or id marks boilerplate only as a whole token, never an element with most of the page's text or around the page's main
+or only article, and inside the article no heading, no prose and nothing within prose.
 """
 
 from __future__ import annotations
 
-import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -32,7 +34,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre "
                    "search section summary table tbody td tfoot th thead title tr ul".split())
 CONTAINERS = BLOCKS - PROSE - MAIN
-# Words in class or id, and roles, that mark boilerplate.
+# Whole classes or ids, and roles, that mark boilerplate.
 MARKS = frozenset("nav navbar navigation menu submenu sidebar footer masthead ad ads adv advert adverts advertisement "
                   "advertising banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices notification "
                   "popup modal overlay newsletter subscribe subscription signup login share sharing social comment comments "
@@ -43,14 +45,16 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
 LISTS = frozenset("ul ol dl table select menu".split())
-_WORDS = re.compile(r"[a-z0-9]+")
+# Layout elements that a page may also put around its main part.
+AROUND = frozenset("nav footer aside form header fieldset dialog menu label".split())
 
 
 class Element:
-    __slots__ = ("tag", "marked", "parts", "digest", "weight")
+    __slots__ = ("tag", "marked", "hidden", "parts", "digest", "weight", "mains", "articles")
 
-    def __init__(self, tag: str, marked: bool) -> None:
-        self.tag, self.marked, self.parts, self.digest, self.weight = tag, marked, [], 0, 0
+    def __init__(self, tag: str, marked: bool, hidden: bool = False) -> None:
+        self.tag, self.marked, self.hidden, self.parts, self.digest, self.weight = tag, marked, hidden, [], 0, 0
+        self.mains = self.articles = 0  # main elements and outermost articles below
 
 
 class PageTree(HTMLParser):
@@ -75,7 +79,10 @@ class PageTree(HTMLParser):
                 element.weight += len(words)
                 seen.update(b"\x01" + words.encode("utf-8", "surrogatepass"))
             else:
-                element.weight += part.weight
+                if part.tag not in DROPPED or part.tag in AROUND:  # scripts and the like are no text of the page
+                    element.weight += part.weight
+                element.mains += part.mains + (part.tag == "main")
+                element.articles += 1 if part.tag == "article" else part.articles
                 seen.update(b"\x02" + part.digest.to_bytes(8, "little"))
         element.digest = seen.intdigest()
 
@@ -86,15 +93,17 @@ class PageTree(HTMLParser):
             self._close_to({"p"}, MAIN | {"td", "th", "button", "div"} | LISTS)
         if tag in SIBLINGS:
             self._close_to(SIBLINGS[tag], LISTS)
-        marked = False
+        marked = hidden = False
         for name, value in attrs:
-            if name in ("class", "id"):
-                marked |= not MARKS.isdisjoint(_WORDS.findall((value or "").lower()))
+            if name == "class":
+                marked |= not MARKS.isdisjoint((value or "").lower().split())
+            elif name == "id":
+                marked |= (value or "").strip().lower() in MARKS
             elif name == "role":
                 marked |= (value or "").strip().lower() in ROLES
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                marked = True
-        element = Element(tag, marked and tag not in ("html", "body"))
+                hidden = True
+        element = Element(tag, marked and tag != "body", hidden and tag != "body")
         self.open[-1].parts.append(element)
         if tag in VOID:
             self.open.append(element)
@@ -145,13 +154,29 @@ def subtree_hashes(html: str) -> set[int]:
     return {d - (1 << 64) if d >= 1 << 63 else d for d in found}
 
 
+def _boilerplate(e: Element, tree: Element, inside: bool, prose: bool = False) -> bool:
+    """Whether an element goes by its tag, class, id, role or hidden state; ``inside`` the article, ``prose``: within prose."""
+    layout = e.tag in DROPPED or e.tag == "header" and not inside
+    if layout and e.tag not in AROUND:
+        return True
+    if not (layout or e.marked or e.hidden):
+        return False
+    if not inside:
+        plain = not layout or e.tag in ("form", "fieldset")
+        if e.mains or e.tag == "main" or plain and (2 * e.weight > tree.weight or tree.articles == 1 == e.articles):
+            return False
+        if e.tag == "article" and tree.articles == 1:
+            return False
+    return layout or e.hidden or not (prose or e.tag in PROSE)
+
+
 def main_text(html: str, template: set[int]) -> str:
     """Text of the blocks of the main part, without template subtrees (signed hashes) and boilerplate."""
     tree = PageTree(html).root
     template = {d & ((1 << 64) - 1) for d in template}
 
-    def dropped(e: Element, inside: bool) -> bool:
-        if e.tag in DROPPED or e.tag == "header" and not inside or e.marked:
+    def dropped(e: Element, inside: bool, prose: bool = False) -> bool:
+        if _boilerplate(e, tree, inside, prose):
             return True
         return e.tag in CONTAINERS and e.digest in template and 2 * e.weight <= tree.weight
 
@@ -160,29 +185,33 @@ def main_text(html: str, template: set[int]) -> str:
         while stack:
             one = stack.pop()
             if one.tag == tag:
-                found.append(one)
-            elif not dropped(one, False):
+                if not _boilerplate(one, tree, False):
+                    found.append(one)
+            elif not dropped(one, False) and (one.mains or 2 * one.weight > tree.weight or not (one.marked or one.hidden)):
                 stack.extend(p for p in reversed(one.parts) if isinstance(p, Element))
-        return [e for e in found if not e.marked]
+        return found
 
+    # an article in a marked wrapper with little text may be a card or a comment: it stays, but as a part of the page
     tops = outermost("article") or outermost("main") or [tree]
     inside = tops[0] is not tree
+    starts = {id(e) for e in tops}
     blocks: list[list[str]] = [[]]
-    stack: list = list(reversed(tops))
+    stack: list = [(e, False) for e in reversed(tops)]
     while stack:
-        one = stack.pop()
+        one, prose = stack.pop()
         if one is None:
             blocks.append([])
         elif isinstance(one, str):
             blocks[-1].append(one)
         elif one.tag == "br":
             blocks[-1].append(" ")
-        elif one in tops or not dropped(one, inside):
+        elif id(one) in starts or not dropped(one, inside, prose):
             edge = one.tag in BLOCKS
             if edge:
                 blocks.append([])
-                stack.append(None)
-            stack.extend(reversed(one.parts))
+                stack.append((None, False))
+            below = prose or one.tag in PROSE
+            stack.extend((p, below) for p in reversed(one.parts))
     texts = (" ".join("".join(b).split()) for b in blocks)
     return " ".join(t for t in texts if t)
 

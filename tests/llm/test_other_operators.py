@@ -70,6 +70,23 @@ def test_html_rules():
     assert html_extract.main_text("<p>&#xD83D; x", set()) != ""
 
 
+def test_html_marks_are_whole_names():
+    """Only whole classes and ids mark, never what holds the article or most of the text, nor prose inside the article."""
+    article = """<article><h2 id="related">Rel</h2><h2 id="related-work">Work</h2><section id="share-prices"><p class="notice">Up
+      <a class="share">five</a></p></section><div class="comments"><article>c</article></div></article>"""
+    for wrapper in ('div class="site has-sidebar"', 'div class="no-sidebar"', 'div class="widget"', 'form id="form1"'):
+        page = f'<body><nav>n</nav><{wrapper}>{article}</{wrapper.split()[0]}><div class="ad">buy</div>'
+        assert html_extract.main_text(page, set()) == "Rel Work Up five"
+    page = '<div class="social"><p>A long text of the page in a box.</p><div class="ad">buy</div></div><div class="related">x</div>'
+    assert html_extract.main_text(page, set()) == "A long text of the page in a box."
+    page = '<div class="related"><article>card</article></div><article>A text.</article>'
+    assert html_extract.main_text(page, set()) == "A text."
+    page = '<script>' + "x" * 999 + '</script><div class="widget"><main>Text</main></div>Other words of this page'
+    assert html_extract.main_text(page, set()) == "Text"
+    page = '<div class="related"><article>card</article></div><p>The text of a page without an article.</p>'
+    assert html_extract.main_text(page, set()) == "card The text of a page without an article."
+
+
 def test_html_templates(spark):
     """Without telling names or an article element only recurrence tells the frame from the text."""
     rnd = random.Random(1)
