@@ -1,7 +1,7 @@
 """Main text of web pages with removal of site templates.
 
 Every container element of a page is hashed with all it contains. Spark counts on how many pages of a host each hash
-occurs; subtrees that recur on many pages of their host are its template (menus, banners, notices) and are deleted. What is
+occurs, where pages with the same main text count once; subtrees that recur on many pages of their host are its template (menus, banners, notices) and are deleted. What is
 boilerplate by its element or class goes too, even if it occurs once. Paragraphs and headings are never deleted as
 template, because an article may quote the same sentence as another, nor is a subtree with most of the page's text.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from leadlake.llm.common import batch_map
 from leadlake.session import cut_lineage
 
-# A subtree is template if it is on at least MIN_PAGES pages and MIN_SHARE of the pages of its host.
+# A subtree is template if it is on at least MIN_PAGES distinct pages and MIN_SHARE of the distinct pages of its host.
 MIN_PAGES = 3
 MIN_SHARE = 0.01
 
@@ -138,20 +138,28 @@ class PageTree(HTMLParser):
         self.open[-1].parts.append(data)
 
 
-def _walk(element: Element):
-    """All elements below, without recursion (markup may nest deeply)."""
-    stack = [element]
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >= 1 << 63 else digest
+
+
+def _candidates(tree: Element) -> tuple[set[int], set[int]]:
+    """Signed hashes of the containers that may be template: those a template may delete here, and all others.
+
+    What goes in any case needs no deletion here, but it counts, because another page may hold it without a telling name.
+    """
+    kept, others, stack = set(), set(), [(tree, True, False)]
     while stack:
-        one = stack.pop()
-        yield one
-        stack.extend(p for p in one.parts if isinstance(p, Element))
+        e, open_, prose = stack.pop()
+        open_ = open_ and not (_boilerplate(e, tree, False) and _boilerplate(e, tree, True, prose))
+        if e.tag in CONTAINERS and 0 < e.weight and 2 * e.weight <= tree.weight:
+            (kept if open_ else others).add(_signed(e.digest))
+        stack.extend((p, open_, prose or e.tag in PROSE) for p in e.parts if isinstance(p, Element))
+    return kept, others - kept
 
 
 def subtree_hashes(html: str) -> set[int]:
     """Signed hashes of the containers of a page that may be template."""
-    tree = PageTree(html).root
-    found = {e.digest for e in _walk(tree) if e.tag in CONTAINERS and 0 < e.weight and 2 * e.weight <= tree.weight}
-    return {d - (1 << 64) if d >= 1 << 63 else d for d in found}
+    return set.union(*_candidates(PageTree(html).root))
 
 
 def _boilerplate(e: Element, tree: Element, inside: bool, prose: bool = False) -> bool:
@@ -172,7 +180,10 @@ def _boilerplate(e: Element, tree: Element, inside: bool, prose: bool = False) -
 
 def main_text(html: str, template: set[int]) -> str:
     """Text of the blocks of the main part, without template subtrees (signed hashes) and boilerplate."""
-    tree = PageTree(html).root
+    return _main_text(PageTree(html).root, template)
+
+
+def _main_text(tree: Element, template: set[int]) -> str:
     template = {d & ((1 << 64) - 1) for d in template}
 
     def dropped(e: Element, inside: bool, prose: bool = False) -> bool:
@@ -224,21 +235,32 @@ def host_of(url: str = "url") -> Column:
 def template_hits(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``(k1, k2, template)``: for pages with template subtrees, the hashes of these.
 
-    ``pages`` has ``k1, k2, host, html``; a page's list is bounded by its own elements.
+    ``pages`` has ``k1, k2, host, html``; a page's list is bounded by its own elements. Pages of a host with the same main
+    text are copies and count as one page, however their frames differ.
     """
+    def described(html: str | None) -> tuple[int, list[int], list[int]]:
+        if not html:
+            return 0, [], []
+        tree = PageTree(html).root
+        kept, others = _candidates(tree)
+        text = _main_text(tree, set()).encode("utf-8", "surrogatepass")
+        return _signed(xxhash.xxh64_intdigest(text)), sorted(kept), sorted(others)
+
     def run(batch: pa.RecordBatch):
         texts = batch.column("html").to_pylist()
         for start in range(0, len(texts), 1000):
-            hashes = [sorted(subtree_hashes(t)) if t else [] for t in texts[start:start + 1000]]
+            page, kept, others = zip(*map(described, texts[start:start + 1000]))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).slice(start, 1000) for c in ("k1", "k2", "host")), pa.array(hashes, pa.list_(pa.int64()))],
-                ["k1", "k2", "host", "hashes"])
+                [*(batch.column(c).slice(start, 1000) for c in ("k1", "k2", "host")), pa.array(page, pa.int64()),
+                 pa.array(kept, pa.list_(pa.int64())), pa.array(others, pa.list_(pa.int64()))],
+                ["k1", "k2", "host", "page", "hashes", "others"])
 
-    listed = batch_map(pages.select("k1", "k2", "host", "html"), run, "k1 long, k2 long, host string, hashes array<long>")
-    listed = cut_lineage(listed.withColumn("hashes", F.coalesce("hashes", F.array().cast("array<long>"))))
+    listed = cut_lineage(batch_map(pages.select("k1", "k2", "host", "html"), run,
+                                   "k1 long, k2 long, host string, page long, hashes array<long>, others array<long>"))
     each = listed.select("k1", "k2", "host", F.explode("hashes").alias("hash"))
-    sizes = listed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("on_pages")).filter(F.col("on_pages") >= min_pages)
+    distinct = listed.select("host", "page", F.explode(F.concat("hashes", "others")).alias("hash")).distinct()
+    sizes = listed.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    counts = distinct.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("on_pages")).filter(F.col("on_pages") >= min_pages)
     template = counts.join(sizes, "host").filter(F.col("on_pages") >= min_share * F.col("pages")).select("host", "hash")
     return each.join(template, ["host", "hash"]).groupBy("k1", "k2").agg(F.collect_set("hash").alias("template"))
 
@@ -246,8 +268,8 @@ def template_hits(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``(page_id, url, text, n_chars)``, one row per page (columns ``page_id``, ``url``, ``html``; others are ignored).
 
-    Null or empty html gives an empty text. Pages without a host count as one host. Rows that repeat count as pages of
-    their own and are all returned. Blocks are joined by one space; white space inside a block becomes one space.
+    Null or empty html gives an empty text. Pages without a host count as one host. Rows that repeat are all returned;
+    for the template, pages of a host with equal main text count once. Blocks are joined by one space; white space inside a block becomes one space.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))

@@ -108,6 +108,17 @@ def test_html_templates(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def test_html_copies_of_a_page_are_no_template(spark):
+    """Copies, even in other frames, count as one page of their host; the frame of distinct pages still goes."""
+    article = "<article><h1>Head</h1><p>A text that is long enough.</p><ul><li>one<li>two</ul><section>part</section></article>"
+    pages = [(i, "http://a.org/x", f"<div><ul><li>Home</ul></div>{article}<div>frame {i % 4}</div>") for i in range(8)]
+    pages += [(10 + i, "http://b.org/x", f"<div>Home</div><p>Text {i % 4} of this page</p>") for i in range(8)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert got[i] == "Head A text that is long enough. one two part"
+        assert got[10 + i] == f"Text {i % 4} of this page"
+
+
 def test_html_articles_of_the_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
