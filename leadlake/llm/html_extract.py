@@ -1,9 +1,12 @@
 """Main text of web pages with removal of site templates.
 
 Every container element of a page is hashed with all it contains. Spark counts on how many pages of a host each hash
-occurs, where pages with the same main text count once; subtrees that recur on many pages of their host are its template (menus, banners, notices) and are deleted. What is
-boilerplate by its element or class goes too, even if it occurs once. Paragraphs and headings are never deleted as
-template, because an article may quote the same sentence as another, nor is a subtree with most of the page's text.
+occurs, where pages with the same main text count once; subtrees on MIN_PAGES distinct pages of their host are its template
+(menus, banners, notices) and are deleted. What is boilerplate by its element or class goes too, even if it occurs once.
+Paragraphs and headings are never deleted as template, because an article may quote the same sentence as another. Nor are
+single list items, rows and cells inside an article; elsewhere items and rows go only where most of their list or table
+recurs, and cells only with several links, because short ones meet by chance on a large host. On a page without article or
+main a subtree with most of the page's text goes by its recurrence too, unless nothing else would remain; elsewhere it stays.
 
 A class or id marks boilerplate only as a whole token, never an element with most of the page's text or around the page's main
 or only article, and inside the article no heading, no prose and nothing within prose.
@@ -21,9 +24,8 @@ from pyspark.sql import functions as F
 from leadlake.llm.common import batch_map
 from leadlake.session import cut_lineage
 
-# A subtree is template if it is on at least MIN_PAGES distinct pages and MIN_SHARE of the distinct pages of its host.
+# A subtree is template if it is on at least MIN_PAGES distinct pages of its host, however many pages that has.
 MIN_PAGES = 3
-MIN_SHARE = 0.01
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset("html body main article".split())
@@ -41,6 +43,9 @@ MARKS = frozenset("nav navbar navigation menu submenu sidebar footer masthead ad
                   "commentlist disqus respond reply replies related recommended breadcrumb breadcrumbs pagination pager widget "
                   "toolbar skip hidden".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+# Parts of lists and tables: too short to be template by themselves.
+PARTS = frozenset("li dt dd tr td th thead tbody tfoot caption option optgroup".split())
+WHOLES = frozenset("ul ol dl table".split())
 # A start tag closes an open paragraph or list item of the same kind.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
@@ -151,7 +156,7 @@ def _candidates(tree: Element) -> tuple[set[int], set[int]]:
     while stack:
         e, open_, prose = stack.pop()
         open_ = open_ and not (_boilerplate(e, tree, False) and _boilerplate(e, tree, True, prose))
-        if e.tag in CONTAINERS and 0 < e.weight and 2 * e.weight <= tree.weight:
+        if e.tag in CONTAINERS and e.weight:
             (kept if open_ else others).add(_signed(e.digest))
         stack.extend((p, open_, prose or e.tag in PROSE) for p in e.parts if isinstance(p, Element))
     return kept, others - kept
@@ -185,11 +190,22 @@ def main_text(html: str, template: set[int]) -> str:
 
 def _main_text(tree: Element, template: set[int]) -> str:
     template = {d & ((1 << 64) - 1) for d in template}
+    inside = majority = False
+    loose: set[int] = set()  # parts that go because most of their list or table does
 
-    def dropped(e: Element, inside: bool, prose: bool = False) -> bool:
+    def recurs(e: Element) -> bool:
+        if e.tag not in CONTAINERS or e.digest not in template or not majority and 2 * e.weight > tree.weight:
+            return False
+        return e.tag not in PARTS or not inside and (id(e) in loose or e.tag in ("td", "th") and _links(e) > 1)
+
+    def dropped(e: Element, prose: bool = False) -> bool:
         if _boilerplate(e, tree, inside, prose):
             return True
-        return e.tag in CONTAINERS and e.digest in template and 2 * e.weight <= tree.weight
+        if e.tag in WHOLES and template:
+            parts = _parts(e)
+            if 2 * sum(p.weight for p in parts if p.digest in template) > e.weight:
+                loose.update(map(id, parts))
+        return recurs(e)
 
     def outermost(tag: str) -> list[Element]:
         found, stack = [], [tree]
@@ -198,7 +214,7 @@ def _main_text(tree: Element, template: set[int]) -> str:
             if one.tag == tag:
                 if not _boilerplate(one, tree, False):
                     found.append(one)
-            elif not dropped(one, False) and (one.mains or 2 * one.weight > tree.weight or not (one.marked or one.hidden)):
+            elif not dropped(one) and (one.mains or 2 * one.weight > tree.weight or not (one.marked or one.hidden)):
                 stack.extend(p for p in reversed(one.parts) if isinstance(p, Element))
         return found
 
@@ -206,25 +222,56 @@ def _main_text(tree: Element, template: set[int]) -> str:
     tops = outermost("article") or outermost("main") or [tree]
     inside = tops[0] is not tree
     starts = {id(e) for e in tops}
-    blocks: list[list[str]] = [[]]
-    stack: list = [(e, False) for e in reversed(tops)]
-    while stack:
-        one, prose = stack.pop()
-        if one is None:
-            blocks.append([])
-        elif isinstance(one, str):
-            blocks[-1].append(one)
-        elif one.tag == "br":
-            blocks[-1].append(" ")
-        elif id(one) in starts or not dropped(one, inside, prose):
-            edge = one.tag in BLOCKS
-            if edge:
+
+    def text() -> str:
+        blocks: list[list[str]] = [[]]
+        stack: list = [(e, False) for e in reversed(tops)]
+        while stack:
+            one, prose = stack.pop()
+            if one is None:
                 blocks.append([])
-                stack.append((None, False))
-            below = prose or one.tag in PROSE
-            stack.extend((p, below) for p in reversed(one.parts))
-    texts = (" ".join("".join(b).split()) for b in blocks)
-    return " ".join(t for t in texts if t)
+            elif isinstance(one, str):
+                blocks[-1].append(one)
+            elif one.tag == "br":
+                blocks[-1].append(" ")
+            elif id(one) in starts or not dropped(one, prose):
+                edge = one.tag in BLOCKS
+                if edge:
+                    blocks.append([])
+                    stack.append((None, False))
+                below = prose or one.tag in PROSE
+                stack.extend((p, below) for p in reversed(one.parts))
+        texts = (" ".join("".join(b).split()) for b in blocks)
+        return " ".join(t for t in texts if t)
+
+    majority = not inside and bool(template)
+    found = text()
+    if majority and not found:
+        majority = False
+        found = text()
+    return found
+
+
+def _parts(whole: Element) -> list[Element]:
+    """Outermost items of a list or rows of a table."""
+    found, stack = [], list(whole.parts)
+    while stack:
+        e = stack.pop()
+        if isinstance(e, Element):
+            if e.tag in PARTS and e.tag not in ("thead", "tbody", "tfoot"):
+                found.append(e)
+            else:
+                stack.extend(e.parts)
+    return found
+
+
+def _links(e: Element) -> int:
+    found, stack = 0, [e]
+    while stack:
+        one = stack.pop()
+        found += one.tag == "a"
+        stack.extend(p for p in one.parts if isinstance(p, Element))
+    return found
 
 
 def host_of(url: str = "url") -> Column:
@@ -232,7 +279,7 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def template_hits(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def template_hits(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``(k1, k2, template)``: for pages with template subtrees, the hashes of these.
 
     ``pages`` has ``k1, k2, host, html``; a page's list is bounded by its own elements. Pages of a host with the same main
@@ -259,13 +306,12 @@ def template_hits(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
                                    "k1 long, k2 long, host string, page long, hashes array<long>, others array<long>"))
     each = listed.select("k1", "k2", "host", F.explode("hashes").alias("hash"))
     distinct = listed.select("host", "page", F.explode(F.concat("hashes", "others")).alias("hash")).distinct()
-    sizes = listed.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = distinct.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("on_pages")).filter(F.col("on_pages") >= min_pages)
-    template = counts.join(sizes, "host").filter(F.col("on_pages") >= min_share * F.col("pages")).select("host", "hash")
+    counts = distinct.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("on_pages"))
+    template = counts.filter(F.col("on_pages") >= min_pages).select("host", "hash")
     return each.join(template, ["host", "hash"]).groupBy("k1", "k2").agg(F.collect_set("hash").alias("template"))
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``(page_id, url, text, n_chars)``, one row per page (columns ``page_id``, ``url``, ``html``; others are ignored).
 
     Null or empty html gives an empty text. Pages without a host count as one host. Rows that repeat are all returned;
@@ -275,7 +321,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
                         F.col("html").cast("string").alias("html"))
     keyed = rows.withColumn("k1", F.xxhash64("page_id", "url", "html")).withColumn(
         "k2", F.xxhash64(F.lit(1), "html", "page_id", "url")).withColumn("host", host_of())
-    hits = template_hits(keyed, min_pages, min_share)
+    hits = template_hits(keyed, min_pages)
 
     def run(batch: pa.RecordBatch):
         texts = [main_text(h, set(t or ())) if h else "" for h, t in

@@ -119,6 +119,20 @@ def test_html_copies_of_a_page_are_no_template(spark):
         assert got[10 + i] == f"Text {i % 4} of this page"
 
 
+def test_html_recurrence_does_not_depend_on_the_host(spark):
+    """Three distinct pages suffice on a host of any size, for the larger part of a page too; what meets by chance stays."""
+    menu = "<div><ul><li>Home<li>News<li>Contact</ul></div>"
+    notice = f"<div>{'We keep a notice that is longer than all the rest. ' * 3}</div>"
+    cells = "<table><tr><td>1<td>2<tr><td>{0}<td>4</table>"
+    pages = [(i, f"{menu if i < 4 else ''}{notice if i < 5 else ''}<div>Own text {i}</div>{cells.format(i)}") for i in range(700)]
+    pages += [(1000, notice), (1001, "<ul><li>Home<li>An item of its own</ul><ul><li>Home<li>News<li>Now</ul>")]
+    frame = spark.createDataFrame([(i, "http://a.org/", h) for i, h in pages], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(frame).collect()}
+    for i in range(700):
+        assert got[i] == f"Own text {i} 1 2 {i} 4"
+    assert got[1000] == " ".join((notice[5:-6]).split()) and got[1001] == "Home An item of its own Now"
+
+
 def test_html_articles_of_the_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
