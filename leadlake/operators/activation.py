@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlake.functions.templates import field, lookup
+from leadlake.session import cut_lineage
 
 CHANNELS = ("slack", "n8n")
 ACTIVE_LEVELS = ("hot", "warm")
@@ -32,19 +33,24 @@ ACTIVATION_FIELDS = (
 
 
 def activation_leads(insights: DataFrame, ranked: bool = False) -> DataFrame:
-    """Hot and warm leads. ``ranked`` adds ``rank`` by intent score, ties by lead id, and orders by it (one sort, for reports)."""
+    """Hot and warm leads. ``ranked`` adds ``rank`` by intent score, ties by lead id, and orders by it (for reports).
+
+    Leads without a score come last.
+    """
     lower = insights.toDF(*[c.lower() for c in insights.columns])
     active = lower.filter(F.col("intent_level").isin(*ACTIVE_LEVELS))
     active = active.select(*[c for c in ACTIVATION_FIELDS if c in active.columns])
     if not ranked:
         return active
-    # the rank within a score needs no window over all leads: higher scores are counted once per score
-    scores = active.groupBy("intent_score").agg(F.count(F.lit(1)).alias("_n"))
-    above = Window.orderBy(F.desc("intent_score")).rowsBetween(Window.unboundedPreceding, -1)
-    base = scores.select("intent_score", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
-    inside = F.row_number().over(Window.partitionBy("intent_score").orderBy("lead_id"))
-    ranks = active.join(F.broadcast(base), "intent_score").withColumn("rank", F.col("_above") + inside)  # one row per score
-    return ranks.select(*active.columns, "rank").orderBy("rank")
+    # range slices of the order are numbered in parallel and shifted by the sizes of the slices before
+    order = [F.col("intent_score").desc_nulls_last(), F.col("lead_id").asc_nulls_first()]
+    sliced = cut_lineage(active.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    start = sizes.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"))
+    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    ranks = sliced.withColumn("_inside", inside).join(F.broadcast(start), "_slice")  # one row per slice
+    return ranks.withColumn("rank", F.col("_above") + F.col("_inside")).select(*active.columns, "rank").orderBy("rank")
 
 
 def _or(columns, name: str, default: str = "N/A") -> Column:

@@ -82,6 +82,19 @@ def test_outbox_sends_once(spark):
     assert activation.outbox(leads, first.filter("channel = 'slack'")).select("channel").distinct().collect()[0][0] == "n8n"
 
 
+def test_ranks_of_equal_and_absent_scores(spark):
+    """Leads without a score come last, and one score may span slices."""
+    rows = [(f"lead{i:04d}", "hot" if i % 2 else "warm", 70 if i % 3 else None if i % 5 else 90 + i % 7) for i in range(900)]
+    frame = spark.createDataFrame(rows + [("cold", "cold", 99)], "lead_id string, intent_level string, intent_score int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [(r.lead_id, r.intent_score, r["rank"]) for r in activation.activation_leads(frame, ranked=True).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = sorted(rows, key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
+    assert got == [(lead, score, i) for i, (lead, _, score) in enumerate(want, 1)]
+
+
 def test_warehouse_tables(spark):
     df = spark.createDataFrame([("a", "None", ["x"], "bronze"), ("nan", "b", None, "bronze")], "id string, t string, l array<string>, layer string")
     rows = warehouse.prepare_for_warehouse(df).select("ID", "T", "L").collect()
