@@ -52,14 +52,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *carried: str) -> DataFrame:
+    """``(doc_id, fp, *carried)`` for every row; ``fp`` holds the 64 bits as a signed long, ``carried`` names columns of longs."""
     def run(batch: pa.RecordBatch):
         prints = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64)), *map(batch.column, carried)],
+                                         ["doc_id", "fp", *carried])
 
     doc_id = F.col("doc_id").cast("long")
-    return batch_map(docs.select(doc_id.alias("doc_id"), utf8().alias("text")), run, "doc_id long, fp long")
+    schema = ", ".join(f"{c} long" for c in ("doc_id", "fp", *carried))
+    return batch_map(docs.select(doc_id.alias("doc_id"), utf8().alias("text"), *carried), run, schema)
 
 
 def correlated_parts(bits: np.ndarray, parts: int) -> list[list[int]]:
@@ -164,7 +166,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     smallest id of its component (null if it has none). Repeated rows stay repeated. Only one row
     per distinct fingerprint is compared, so copies cost nothing.
     """
-    rows = cut_lineage(fingerprints(docs, shingle))
+    return _labelled(docs, shingle, distance).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _labelled(docs: DataFrame, shingle: int, distance: int, *carried: str) -> DataFrame:
+    """``(doc_id, fp, *carried, component, component_id)``; ``component`` is one of the component's fingerprints."""
+    rows = cut_lineage(fingerprints(docs, shingle, *carried))
     classes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     total = classes.count()
     labels = connected_components(linked_prints(classes.select("fp"), total, distance)).select(
@@ -172,20 +180,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     member = classes.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     member = cut_lineage(member)
     lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "component").select("fp", "component_id")
-    return rows.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = member.join(lowest, "component").select("fp", "component", "component_id")
+    return rows.join(named, "fp")
 
 
 def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with all columns, but of each component only the document whose ``doc_id`` names it.
 
-    Of rows that repeat this ``doc_id`` the first by text stays. Rows without ``doc_id`` cannot name a component and all stay.
+    Of a component's rows that repeat this ``doc_id`` the first by text stays; a ``doc_id`` with unrelated texts may name several
+    components and stays once in each. Rows without ``doc_id`` cannot name a component and all stay.
     """
-    labels = near_duplicates(docs, shingle, distance)
-    names = labels.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("name")).distinct()
-    first = Window.partitionBy("id").orderBy(F.col("text").asc_nulls_first())
-    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), "text")
-    chosen = rows.join(names, F.col("id") == F.col("name"), "left_semi")
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))  # tells texts of one doc_id apart
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest.alias("digest"))
+    labels = _labelled(texts, shingle, distance, "digest")
+    names = labels.filter(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias("name"), F.col("digest").alias("of"), "component").distinct()
+    first = Window.partitionBy("component").orderBy(F.col("text").asc_nulls_first())
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), "text", digest.alias("digest"))
+    chosen = rows.join(names, (F.col("id") == F.col("name")) & (F.col("digest") == F.col("of")))
     single = chosen.withColumn("place", F.row_number().over(first)).filter("place = 1").select("kept")
     return single.unionByName(rows.filter(F.col("id").isNull()).select("kept")).select(*unpacked(docs))

@@ -132,6 +132,16 @@ def test_simhash_brute_force(spark, edge, empty):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 5, 6, 7, 9, 10]
 
 
+def test_simhash_keeps_one_row_per_component_of_repeated_ids(spark):
+    """An id with unrelated texts represents only the components that it names."""
+    rnd = random.Random(4)
+    a, b = (" ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(400)) for _ in range(2))
+    rows = [(3, a + " x"), (5, a), (5, b), (5, b), (7, b), (9, None), (9, ""), (9, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in simhash.keep_representatives(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, a + " x"), (5, b), (9, None)], key=str)
+
+
 @pytest.mark.parametrize("distance,total", [(4, 1000), (4, 10**8), (3, 10**6), (6, 10**5)])
 def test_pigeonhole_loses_no_pair(distance, total):
     """Thresholds sum to distance - parts + 1, so some bucket mask hides all differing bits of any near pair."""
