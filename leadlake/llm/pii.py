@@ -48,6 +48,8 @@ SAMPLE_DOCS = 20_000
 MAX_PROPOSALS = 20_000
 # Least share of accepted held-out proposals that must lie on a rule's span.
 PRECISION = 0.99
+# Steps of a unit of log-odds in which held-out proposals are counted.
+STEPS = 256
 TREES, DEPTH = 24, 3
 
 
@@ -147,37 +149,62 @@ def with_rules(docs: DataFrame) -> DataFrame:
 
 
 def fit_model(docs: DataFrame) -> tuple[boosting.Forest | None, dict[str, float]]:
-    """Trees and the log-odds threshold of each kind, from the proposals in about SAMPLE_DOCS documents drawn by hash.
+    """Trees and the log-odds threshold of each kind.
 
-    A kind without enough held-out proposals is never accepted (threshold infinity); without both labels there are no trees.
+    Trees are fitted on two thirds of at most MAX_PROPOSALS proposals from about SAMPLE_DOCS documents drawn by hash. Thresholds
+    come from the last third and the proposals of all other documents, counted in Spark. A kind with fewer than 20 of these in
+    the whole table is never accepted (threshold infinity); without both labels there are no trees.
     """
     total = max(docs.count(), 1)
     ring = 1 << 20
-    drawn = docs.select("doc_id", "text").filter(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(ring)) < int(ring * min(1.0, SAMPLE_DOCS / total)))
-    known = with_rules(drawn).withColumn("_all", proposals(F.col("_text")))
-    on_rule = F.transform("_all", lambda p: F.struct(p["f"].alias("f"), F.coalesce(*(
-        F.when(p["kind"] == k, overlaps(p, F.col(f"_{k}"))) for k in KINDS)).alias("label")))
-    rows = known.select(F.explode(on_rule).alias("p")).select("p.f", "p.label").orderBy(
-        F.xxhash64("f"), "f", "label").limit(MAX_PROPOSALS).collect()
-    never = dict.fromkeys(KINDS, np.inf)
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ring)) < int(ring * min(1.0, SAMPLE_DOCS / total))
+
+    def labelled(part: DataFrame, *values: Callable[[Column], Column]) -> DataFrame:
+        """A row for each proposal: kind, whether it lies on a rule's span of its kind, hash of its features, ``values``."""
+        known = with_rules(part).withColumn("_all", proposals(F.col("_text")))
+        on_rule = F.transform("_all", lambda p: F.struct(p["kind"].alias("kind"), F.coalesce(*(
+            F.when(p["kind"] == k, overlaps(p, F.col(f"_{k}"))) for k in KINDS)).alias("label"),
+            F.xxhash64(p["f"]).alias("place"), *(v(p) for v in values)))
+        return known.select("drawn", F.explode(on_rule).alias("p")).select("drawn", "p.*")
+
+    texts = docs.select("doc_id", "text", drawn.alias("drawn"))
+    rows = labelled(texts.filter("drawn"), lambda p: p["f"].alias("f")).orderBy("place", "f", "label").limit(
+        MAX_PROPOSALS).collect()
+    limits = dict.fromkeys(KINDS, np.inf)
     features = np.array([r.f for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     label = np.array([r.label for r in rows], dtype=float)
     check = np.arange(len(rows)) % 3 == 2
     if len(rows) < 100 or label[~check].min() == label[~check].max():
-        return None, never
+        return None, limits
     forest = boosting.fit(features[~check], label[~check], trees=TREES, depth=DEPTH)
-    margin = forest.margin(features)
-    limits = dict(never)
-    for number, kind in enumerate(KINDS):
-        at = check & (features[:, 0] == number)
-        order = np.argsort(-margin[at], kind="stable")
-        scores, right = margin[at][order], label[at][order]
-        precise = np.cumsum(right) >= PRECISION * np.arange(1, len(right) + 1)
-        last_of_score = np.r_[scores[1:] != scores[:-1], True] if len(scores) else np.zeros(0, bool)
-        fine = np.flatnonzero(precise & last_of_score)
-        if len(right) >= 20 and len(fine):
-            limits[kind] = float(max(scores[fine[-1]], 0.0))  # never below even odds
+
+    def step(p: Column) -> Column:
+        margin = forest.column([F.get(p["f"], F.lit(i)) for i in range(len(FEATURES))])
+        return F.greatest(F.floor(margin * STEPS), F.lit(-1).cast("long")).alias("step")  # below even odds none is accepted
+
+    counts: dict[str, dict[int, list[int]]] = {k: {} for k in KINDS}  # kind -> step -> proposals, of these right
+
+    def count(kind: str, at: int, n: int, right: int) -> None:
+        cell = counts[kind].setdefault(at, [0, 0])
+        cell[0], cell[1] = cell[0] + n, cell[1] + right
+
+    for margin, r in zip(forest.margin(features[check]), (r for r, held in zip(rows, check) if held)):
+        count(r.kind, max(int(np.floor(margin * STEPS)), -1), 1, int(r.label))
+    cut = len(rows) == MAX_PROPOSALS  # the draw may hold more
+    if total > SAMPLE_DOCS or cut:
+        unused = ~F.col("drawn") | (F.col("place") > rows[-1].place) if cut else ~F.col("drawn")
+        others = labelled(texts if cut else texts.filter("not drawn"), step).filter(unused).groupBy("kind", "step").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("right"))
+        for r in others.collect():  # one row a step of a kind
+            count(r.kind, r.step, r.n, r.right)
+    for kind, steps in counts.items():
+        if sum(n for n, _ in steps.values()) < 20:
+            continue
+        seen = right = 0
+        for at in sorted(steps, reverse=True):
+            seen, right = seen + steps[at][0], right + steps[at][1]
+            if right >= PRECISION * seen:
+                limits[kind] = max(at, 0) / STEPS  # never below even odds
     return forest, limits
 
 

@@ -447,3 +447,11 @@ def test_pii_trees_add_formats_the_rules_miss(spark):
                                   "doc_id long, text string")
     spans = {r.doc_id: r.spans for r in pii.report(docs.unionByName(extra)).filter("doc_id < 0").collect()}
     assert spans[-1].startswith("phone:") and spans[-2] == ""
+
+
+def test_pii_thresholds_come_from_the_whole_table(spark, monkeypatch):
+    """Kinds that are rare in the sample get a threshold from the other documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 1500)
+    forest, limits = pii.fit_model(docs)
+    assert forest is not None and all(np.isfinite(limits[k]) for k in ("email", "ip", "phone"))
