@@ -25,9 +25,8 @@ from leadlake.llm import boosting
 from leadlake.llm.common import batch_map
 from leadlake.llm.quality import labelled_sample
 
-# Most labelled documents used to fit (picked by a hash of doc_id), and most bytes of windows of one of them.
+# Most labelled documents used to fit (picked by a hash of doc_id); of these the whole texts.
 MAX_LABELLED = 8_000
-MAX_TEXT = 20_000
 # One labelled document in CALIBRATION is kept from the dictionaries to fit the trees.
 CALIBRATION = 4
 WINDOW = 128
@@ -148,7 +147,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
-    """Fit on at most ``limit`` labelled documents that are not held out, each with at most MAX_TEXT bytes of windows.
+    """Fit on at most ``limit`` labelled documents that are not held out, with their whole texts.
 
     With fewer than 10 documents of either label the score is the share of toxic labels.
     """
@@ -156,17 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = texts.join(sample, "doc_id")
 
-    def excerpt(batch: pa.RecordBatch):
-        keep = []
-        for text in _texts(batch):
-            parts = windows(text)
-            step = max(1, -(-len(text) // MAX_TEXT))  # of a long text evenly spread windows
-            keep.append(b"".join(parts[::step])[:MAX_TEXT])
+    def lowered(batch: pa.RecordBatch):
+        keep = [text.lower() for text in _texts(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(keep, pa.binary())],
                                          ["doc_id", "label", "text"])
 
     for_trees = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
-    rows = batch_map(known.filter(~for_trees), excerpt, "doc_id long, label int, text binary").dropDuplicates(
+    rows = batch_map(known.filter(~for_trees), lowered, "doc_id long, label int, text binary").dropDuplicates(
         ["doc_id"]).orderBy("doc_id").limit(limit).collect()
     all_labels = [r.label for r in rows]
     prior = float(np.mean(all_labels)) if rows else 0.0
@@ -174,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
     toxic, ordinary = ([t for t, label in fresh if label == k] for k in (1, 0))
     if min(len(toxic), len(ordinary)) < 10:
         return Model(b"", b"", None, prior)
-    parts = [w for t in ordinary for w in windows(t)[:100]]
+    parts = [w for t in ordinary for w in windows(t)]
     try:
         content = zstandard.train_dictionary(DICTIONARY, parts).as_bytes()
     except zstandard.ZstdError:  # too few windows to select from

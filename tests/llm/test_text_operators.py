@@ -240,6 +240,26 @@ def test_toxicity_held_out_accuracy(spark):
     assert area > 0.88
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    """A toxic word counts wherever it stands in a long labelled text."""
+    rnd = random.Random(8)
+    words = lambda n: ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    rows = []
+    for i in range(160):
+        plain = words(3000 if i < 60 else 60)  # 21,000 bytes or short
+        if i < 60:
+            while True:
+                mixed = list(plain)
+                mixed[rnd.randrange(2000, 3000)] = "zorblaxer"
+                text = " ".join(mixed)
+                if any(b"zorblaxer" in w for w in toxicity.windows(text.encode())[1::2]):
+                    break
+        rows.append((i, text if i < 60 else " ".join(plain)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i < 60)) for i in range(160)], "doc_id long, quality int, toxic int")
+    assert b" zorblaxer" in toxicity.train(docs, labels).toxic
+
+
 def test_toxicity_edges(edge, empty, labels):
     rows = toxicity.classify(edge, labels).collect()
     assert len(rows) == len(edge_rows()) and all(0 <= r.score <= 1 for r in rows)
