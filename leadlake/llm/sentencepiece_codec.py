@@ -33,7 +33,7 @@ UNKNOWN_PENALTY = 10.0
 # Positions between two looks for a common boundary, and words remembered by a worker.
 LOOK = 64
 MEMORY = 200_000
-# Words longer than this are not remembered.
+# Words up to this length are solved whole and remembered, longer ones go through the streaming search.
 LONGEST_WORD = 48
 BATCH_BYTES = 1 << 21
 
@@ -174,11 +174,13 @@ class Encoder:
         for word in self.cut(text):
             ids = words.get(word)
             if ids is None:
+                if len(word) > LONGEST_WORD:
+                    out.extend(self.search(word))
+                    continue
                 ids = self._word(word) if self.single.issuperset(word) else tuple(self.search(word))
-                if len(word) <= LONGEST_WORD:
-                    if len(words) >= MEMORY:
-                        words.clear()
-                    words[word] = ids
+                if len(words) >= MEMORY:
+                    words.clear()
+                words[word] = ids
             out += ids
         return out
 

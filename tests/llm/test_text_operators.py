@@ -350,6 +350,18 @@ def test_streaming_equals_whole_search(monkeypatch):
     assert [codec.decode(i) for i in streamed] == texts
 
 
+def test_long_words_go_through_the_window(monkeypatch):
+    codec = sentencepiece_codec.Encoder(sentencepiece_codec.load())
+    rnd = random.Random(5)
+    texts = ["a" * 5000, "".join(rnd.choice("abcdefXYZ0123456789+/") for _ in range(5000)), "short words " * 30]
+    want = [codec.encode(t) for t in texts]
+    whole, lengths = codec._word, []
+    codec = sentencepiece_codec.Encoder(sentencepiece_codec.load())
+    monkeypatch.setattr(codec, "_word", lambda word: lengths.append(len(word)) or whole(word))
+    assert [codec.encode(t) for t in texts] == want == [list(codec.search(" " + t)) for t in texts]
+    assert lengths and max(lengths) <= sentencepiece_codec.LONGEST_WORD
+
+
 def test_search_commits_before_the_end():
     codec = sentencepiece_codec.Encoder(sentencepiece_codec.load())
     read = []
