@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlake.llm import embedding_dedup, html_extract, mixing, pii, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity
+from leadlake.llm import (
+    embedding_dedup, fill_middle, html_extract, mixing, pii, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity,
+)
 from leadlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +160,35 @@ SELECT doc_id, CAST(octet_length(data) AS BIGINT) AS n_bytes, CAST(coalesce(n_re
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(k.digits), data)) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON t.row = k.row
 """
+
+
+@query
+def op12_fill_middle(spark, sf_dir):
+    return fill_middle.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_fill_middle"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+  FROM documents),
+drawn AS (
+  SELECT *, len(lines) AS n, CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+         CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4
+  FROM texts),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS c1, greatest(h1 % (n + 1), h2 % (n + 1)) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(lines[1:c1], ''), '') AS p, coalesce(array_to_string(lines[c1 + 1:c2], ''), '') AS m,
+         coalesce(array_to_string(lines[c2 + 1:n], ''), '') AS s
+  FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
