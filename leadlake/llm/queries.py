@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadlake.llm import (
-    embedding_dedup, fill_middle, html_extract, mixing, pii, quality, sentencepiece_codec, sharding, simhash, suffix_dedup, toxicity,
+    embedding_dedup, fill_middle, html_extract, mixing, pii, quality, secret_ledger, sentencepiece_codec, sharding, simhash,
+    suffix_dedup, toxicity,
 )
 from leadlake.llm.common import table
 
@@ -192,3 +193,44 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
        sha256(text) AS restored_sha256
 FROM parts
 """
+
+
+@query
+def op13_secret_ledger(spark, sf_dir):
+    return secret_ledger.report(table(spark, sf_dir, "documents"))
+
+
+def _secret_sql() -> str:
+    """Matches and the pieces between them, unnested and summed, give the offsets of each rule."""
+    scans = []
+    for place, rule in enumerate(secret_ledger.RULES):
+        pattern = rule.pattern.decode().replace("(?<![A-Za-z0-9_-])", r"\b").replace(r"\"", '"').replace("'", "''")
+        scans.append(f"""
+  SELECT row, {place} AS place, '{rule.kind}' AS kind, {rule.least} AS least,
+         unnest(regexp_split_to_array(text, '{pattern}')) AS gap,
+         unnest(list_append(regexp_extract_all(text, '{pattern}', 0), NULL)) AS hit,
+         unnest(list_append(regexp_extract_all(text, '{pattern}', {rule.group}), NULL)) AS body,
+         generate_subscripts(list_append(regexp_extract_all(text, '{pattern}', 0), NULL), 1) AS i
+  FROM texts WHERE regexp_matches(text, '{pattern}')""")
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+pieces AS ({" UNION ALL ".join(scans)}),
+ends AS (
+  SELECT *, CAST(sum(length(gap) + length(coalesce(hit, ''))) OVER (
+    PARTITION BY row, place ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS stop
+  FROM pieces),
+hits AS (
+  SELECT row, place, kind, stop - length(hit) AS start, kind || ':' || (stop - length(hit)) || ':' || stop AS span
+  FROM ends WHERE hit IS NOT NULL AND length(body) >= least),
+found AS (
+  SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+         string_agg(span, ',' ORDER BY start, place) AS spans
+  FROM hits GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts t LEFT JOIN found f ON t.row = f.row
+"""
+
+
+ORACLES["op13_secret_ledger"] = _secret_sql()
