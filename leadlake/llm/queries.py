@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadlake.llm import (
-    embedding_dedup, fill_middle, html_extract, mixing, pii, quality, secret_ledger, sentencepiece_codec, sharding, simhash,
-    suffix_dedup, toxicity,
+    collocations, embedding_dedup, fill_middle, html_extract, mixing, pii, quality, secret_ledger, sentencepiece_codec, sharding,
+    simhash, suffix_dedup, toxicity,
 )
 from leadlake.llm.common import table
 
@@ -234,3 +234,49 @@ FROM texts t LEFT JOIN found f ON t.row = f.row
 
 
 ORACLES["op13_secret_ledger"] = _secret_sql()
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS p FROM texts)),
+tokens AS (SELECT lang, piece, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM pieces),
+wide AS (
+  SELECT lang, [w, lead(w, 1) OVER p, lead(w, 2) OVER p, lead(w, 3) OVER p, lead(w, 4) OVER p] AS words
+  FROM tokens WINDOW p AS (PARTITION BY piece ORDER BY i)),
+grams AS MATERIALIZED (
+  SELECT lang, k, words[1:k] AS phrase, count(*) AS f FROM wide, range(1, 6) t(k)
+  WHERE words[k] IS NOT NULL GROUP BY ALL HAVING k = 1 OR count(*) >= 100),
+totals AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM grams WHERE k > 1),
+keyed AS (SELECT row(lang, phrase) AS key, f FROM grams),
+split AS (
+  SELECT c.*, cut, row(lang, phrase[1:cut]) AS lkey, row(lang, phrase[cut + 1:]) AS rkey
+  FROM candidates c, range(1, 5) t(cut) WHERE cut < k),
+cuts AS (
+  SELECT lang, phrase, k, s.f AS a, cut, l.f AS l, r.f AS r, n,
+         CAST(1000 AS HUGEINT) * s.f * n // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM split s JOIN totals USING (lang) JOIN keyed l ON l.key = lkey JOIN keyed r ON r.key = rkey),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (
+  SELECT lang, f, phrase[i:i + w - 1] AS phrase
+  FROM candidates, range(2, 5) t(w), range(1, 6) u(i) WHERE w < k AND i + w - 1 <= k),
+inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN parts g
+    ON g.lang = s.lang AND g.phrase = s.phrase AND 100 * g.f >= 100 * s.f),
+ranked AS (
+  SELECT *, array_to_string(phrase, ' ') AS text FROM lowest ANTI JOIN inside USING (lang, phrase))
+SELECT lang, rank, text AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(text)) AS rank FROM ranked)
+WHERE rank <= 2000
+"""
