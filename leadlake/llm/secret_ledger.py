@@ -62,7 +62,7 @@ RULES = BASE + ADDED
 
 LEDGER = "blob binary, rules array<string>, findings array<struct<rule:string,start:int,end:int>>"
 # A work list of up to so many blobs (about 32 bytes each) is broadcast to drop seen texts before they move.
-BROADCAST_BLOBS = 500_000
+BROADCAST_BLOBS = 100_000
 
 
 def content_address(column: str = "text") -> Column:
