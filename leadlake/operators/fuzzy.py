@@ -7,30 +7,6 @@ from pyspark.sql import functions as F
 
 from leadlake.functions import similarity
 
-
-# Groups with more distinct texts than this use keys of two agreeing segments instead of one: about thirty times as
-# many keys, which pays once most of the work is comparing texts that share one segment by chance.
-LARGE_GROUP = 1_000_000
-# At most this many groups can be large, see ``_with_need``.
-MAX_LARGE_GROUPS = 1000
-
-
-def _with_need(short: DataFrame, long: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """Adds ``need``, the number of segments that must agree, the same for both sides of a group.
-
-    A group is large above max(LARGE_GROUP, rows / MAX_LARGE_GROUPS) texts, so there are at most
-    MAX_LARGE_GROUPS large groups and their table is broadcast whatever the size of the input.
-    """
-    if total <= LARGE_GROUP:
-        return short.withColumn("need", F.lit(1)), long.withColumn("need", F.lit(1))
-    limit = max(LARGE_GROUP, total // MAX_LARGE_GROUPS)
-    large = F.broadcast(
-        long.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("grp", F.lit(2).alias("need"))
-    )
-    mark = lambda nodes: nodes.join(large, "grp", "left").withColumn("need", F.coalesce("need", F.lit(1)))
-    return mark(short), mark(long)
-
-
 # Texts per task of the key function: enough to pay for a task, few enough to keep its output below a gigabyte.
 FEWEST_TEXTS, MOST_TEXTS = 2_000, 200_000
 
@@ -45,10 +21,10 @@ def _keyed(nodes: DataFrame, side: str, threshold: int, role: str, total: int) -
     candidate, which the verification removes. The rows are spread first: a small table of texts is a lot of
     work per byte, and adaptive coalescing looks at bytes."""
     width = _tasks(total, nodes.sparkSession.sparkContext.defaultParallelism)
-    blocks = similarity.block_keys("text", "need", threshold, role).alias("b")
-    return nodes.repartition(width).select("*", blocks).select("*", F.explode("b.keys").alias("_key")).select(
+    keyed = similarity.with_block_keys(nodes.repartition(width), threshold, role)
+    return keyed.select("*", F.explode("keys").alias("_key")).select(
         F.xxhash64("grp", "_key").alias(f"block_{side}"),
-        F.col("b.signature").alias(f"sig_{side}"),
+        F.col("signature").alias(f"sig_{side}"),
         F.length("text").alias(f"len_{side}"),
         *[F.col(c).alias(f"{c}_{side}") for c in ("text", "grp", "own") if c in nodes.columns],
     )
@@ -65,7 +41,6 @@ def candidate_pairs(short: DataFrame, long: DataFrame, threshold: int, total: in
     most D signature bits and in at most D Levenshtein edits. The cheap tests come first, and all run inside the
     join, before a pair is emitted.
     """
-    short, long = _with_need(short, long, total)
     a = _keyed(short, "a", threshold, "short", total)
     b = _keyed(long, "b", threshold, "long", total)
     if "own" not in short.columns:

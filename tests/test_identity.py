@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from leadlake.functions import similarity
-from leadlake.operators import components, fuzzy, identity, skew
+from leadlake.operators import components, identity, skew
 
 SCHEMA = ("lead_id string, source string, full_name string, email string, email_domain string, job_title string, "
           "seniority string, company_name string, company_domain string, industry string, employee_count int, "
@@ -100,7 +100,7 @@ def test_lcs_agrees_with_plain_program():
 
 @pytest.mark.parametrize("threshold", [85, 90])
 def test_filters_lose_no_pair(threshold):
-    """Block keys (one and two segments) and bit signature keep every pair that reaches the threshold."""
+    """Block keys and bit signature keep every pair that reaches the threshold."""
     rnd = random.Random(threshold)
     share, hits = round(1 - threshold / 100, 10), 0
     for _ in range(6000):
@@ -114,8 +114,7 @@ def test_filters_lose_no_pair(threshold):
         if b and ratio(a, b) >= threshold:
             hits += 1
             short, long = sorted((a, b), key=len)
-            for need in (1, 2):
-                assert set(similarity.keys_of(short, share, "short", need)) & set(similarity.keys_of(long, share, "long", need))
+            assert set(similarity.keys_of(short, share, "short")) & set(similarity.keys_of(long, share, "long"))
             edits = len(a) + len(b) - 2 * similarity.lcs_length(a, b)
             assert (similarity.signature_of(a) ^ similarity.signature_of(b)).bit_count() <= edits
     assert hits > 1000
@@ -138,8 +137,7 @@ def test_resolution_equals_brute_force(spark, seed):
 
 
 def test_hot_paths_equal_brute_force(spark, monkeypatch):
-    """Every group large, every key hot."""
-    monkeypatch.setattr(fuzzy, "LARGE_GROUP", 1)
+    """Every key hot."""
     monkeypatch.setattr(skew, "HOT_ROWS", 2)
     monkeypatch.setattr(skew, "HOT_SHARE", 10**9)
     check_against_brute_force(spark, random_rows(3, 200))
