@@ -138,17 +138,28 @@ def company_pairs(leads: DataFrame) -> DataFrame:
 
 
 def _company_pairs(forms: DataFrame, total: int) -> DataFrame:
-    """Companies are compared once each; a node then looks for similar names inside the companies that are
-    similar to its own. ``forms`` (``total`` rows) should be materialized, it is read several times."""
+    """Companies are compared once each, and similar ones are contracted into classes. Names are then compared once per class,
+    whatever number of companies they stand in, and only similar names meet the pairs of similar companies. ``forms``
+    (``total`` rows) should be materialized, it is read several times."""
     nodes = _company_nodes(forms)
-    reach = salted_join(
-        nodes.select(F.col("m_name").alias("text"), F.col("m_company").alias("company")),
-        similar_companies(nodes, total), "company", total,
-    ).select("text", F.col("partner").alias("grp"), F.col("company").alias("own"))
-    home = nodes.select(F.col("m_name").alias("text"), F.col("m_company").alias("grp"))
-    fuzzy = similar_pairs(reach, home, NAME_THRESHOLD, total)
-    end = lambda side: F.struct(F.col(f"text_{side}").alias("name"), F.col(f"own_{side}").alias("company"))
-    return fuzzy.select(F.least(end("a"), end("b")).alias("lo"), F.greatest(end("a"), end("b")).alias("hi")).select(
+    similar = cut_lineage(similar_companies(nodes, total))
+    labels = connected_components(similar, "company", "partner").withColumnRenamed("id", "company")
+    classes = similar.select("company").distinct().join(labels, "company", "left").select(
+        "company", F.coalesce("component", "company").alias("grp"))
+    placed = cut_lineage(salted_join(
+        nodes.select(F.col("m_name").alias("name"), F.col("m_company").alias("company")), classes, "company", total))
+    texts = placed.select("grp", F.col("name").alias("text")).distinct()
+    fuzzy = similar_pairs(texts, texts, NAME_THRESHOLD, total).select(
+        F.col("own_a").alias("grp"), F.col("text_a").alias("name"), F.col("text_b").alias("other"))
+    reach = salted_join(placed, similar, "company", total)
+    ends = reach.filter("company < partner").withColumn("other", F.col("name")).select(
+        "name", "company", "other", "partner"
+    ).unionByName(reach.join(fuzzy, ["grp", "name"]).select("name", "company", "other", "partner"))
+    there = placed.select(F.col("name").alias("other"), F.col("company").alias("partner"))
+    end = lambda name, company: F.struct(F.col(name).alias("name"), F.col(company).alias("company"))
+    one, two = end("name", "company"), end("other", "partner")
+    return ends.join(there, ["other", "partner"], "left_semi").select(
+        F.least(one, two).alias("lo"), F.greatest(one, two).alias("hi")).select(
         F.col("lo.name").alias("name_1"), F.col("lo.company").alias("company_1"),
         F.col("hi.name").alias("name_2"), F.col("hi.company").alias("company_2"),
     )
