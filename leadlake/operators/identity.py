@@ -283,23 +283,41 @@ def _star(members: DataFrame, group: str, total: int) -> DataFrame:
     )
 
 
+MEMBER = ("anchor", "n_email", "n_company", "m_domain", "m_name", "m_company")
+
+
+def members_of(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """The distinct combinations of anchor, nodes and compared texts of the leads that can match anything; stored."""
+    # Filtered after it is stored: pushed down, the filter would compute the normal forms a second time.
+    return cut_lineage(_with_nodes(leads, threshold).select(*MEMBER).distinct()).filter("anchor is not null")
+
+
 def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Edges between anchors whose components are the identities."""
-    # Filtered after it is stored: pushed down, the filter would compute the normal forms a second time.
-    members = cut_lineage(
-        _with_nodes(leads, threshold).select("anchor", "n_email", "n_company", "m_domain", "m_name", "m_company").distinct()
-    ).filter("anchor is not null")
+    return member_edges(members_of(leads, threshold), threshold)
+
+
+def member_edges(members: DataFrame, threshold: int = DEFAULT_THRESHOLD, fresh: DataFrame | None = None) -> DataFrame:
+    """Edges between the anchors of stored ``members``; with ``fresh``, a part of them, those that this part adds (others may be among
+    them). Names of a domain are then compared only with fresh ones."""
     total = members.count()
     edges = _star(members, "n_email", total)
     if threshold <= SAME_NAME_CONFIDENCE:
         nodes = _domain_nodes(members)
-        fuzzy = similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, total)
+        if fresh is None:
+            fuzzy = similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, total)
+        else:
+            new = _domain_nodes(fresh)
+            fuzzy = similar_pairs(new, nodes, DOMAIN_NAME_THRESHOLD, total).unionByName(
+                similar_pairs(nodes, new, DOMAIN_NAME_THRESHOLD, total))
         edges = edges.unionByName(
             fuzzy.filter(F.floor(F.col("score") * 0.9) >= threshold)
             .select(F.concat_ws(_SEP, F.lit("d"), "own_a", "text_a").alias("src"),
                     F.concat_ws(_SEP, F.lit("d"), "own_b", "text_b").alias("dst"))
         )
     if threshold <= COMPANY_CONFIDENCE:
+        if fresh is not None:
+            members = cut_lineage(_near_companies(members, fresh, total))
         anchor_of = members.filter("n_company is not null").groupBy("n_company").agg(F.min("anchor").alias("anchor"))
         node = lambda i: F.concat_ws(_SEP, F.lit("c"), f"name_{i}", f"company_{i}")
         ends = _company_pairs(members, total).select(node(1).alias("n_1"), node(2).alias("n_2"))
@@ -310,6 +328,16 @@ def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFra
     return edges
 
 
+def _near_companies(members: DataFrame, fresh: DataFrame, total: int) -> DataFrame:
+    """The members whose company is that of a fresh one or similar to it."""
+    companies = lambda df: df.filter("m_company != ''").select(F.lit("").alias("grp"), F.col("m_company").alias("text")).distinct()
+    new, known = companies(fresh), companies(members)
+    near = new.select("text").unionByName(
+        similar_pairs(new, known, COMPANY_THRESHOLD, total).select(F.col("text_b").alias("text"))
+    ).unionByName(similar_pairs(known, new, COMPANY_THRESHOLD, total).select(F.col("text_a").alias("text"))).distinct()
+    return members.join(near.withColumnRenamed("text", "m_company"), "m_company", "left_semi")
+
+
 def cluster_labels(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """``(id, component)`` for the anchors that are linked to another anchor."""
     return connected_components(match_edges(leads, threshold))

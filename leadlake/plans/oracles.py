@@ -384,6 +384,7 @@ ORACLES: dict[str, str] = {
           (a.email = b.email OR (a.full_name = b.full_name AND a.company_domain = b.company_domain))),
         reach(id, root) AS (SELECT i, i FROM links UNION SELECT l.j, r.root FROM reach r JOIN links l ON l.i = r.id)"""),
     "golden_records": _identity("SELECT * FROM golden", "true"),
+    "idr_incremental": _identity("SELECT * FROM golden", "true"),
     "golden_records_strict": _identity("SELECT * FROM golden", "rule = 1"),
     "idr_multi_source": _identity("""SELECT global_id, full_name, email, sources, source_count, record_count FROM golden
         WHERE source_count > 1""", "true"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from leadlake.functions import scoring, text
 from leadlake.operators import (
-    activation, components, identity, insights, medallion, monitoring, quality, summary, warehouse,
+    activation, components, identity, identity_store, insights, medallion, monitoring, quality, summary, warehouse,
 )
 from leadlake.plans import pipeline
 from leadlake.plans.fixtures import leads, leads_from, messages, table
@@ -321,6 +321,17 @@ def golden_records(spark, sf):
     return identity.golden_records(_cleaned(spark, sf))
 
 
+@query
+def idr_incremental(spark, sf):
+    """Golden records from identities that were resolved in two batches."""
+    cleaned = cut_lineage(_cleaned(spark, sf))
+    folder = scratch_path(spark, "identities")
+    half = F.pmod(F.xxhash64("lead_id"), F.lit(2))
+    for part in (0, 1):
+        identity_store.add_batch(cleaned.filter(half == part), folder)
+    return identity.golden_records(cleaned, identity_store.labels(spark, folder))
+
+
 @query
 def golden_records_strict(spark, sf):
     """Only rules of confidence above 90, that is equal emails."""
