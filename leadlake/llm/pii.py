@@ -51,32 +51,81 @@ PRECISION = 0.99
 # Steps of a unit of log-odds in which held-out proposals are counted.
 STEPS = 256
 TREES, DEPTH = 24, 3
+# Characters of a cell of a text that is redacted.
+CELL = 4096
+
+
+# Items of a fold are taken in blocks of so many: Spark copies the state of a fold for each item, with all lists in it.
+FOLD = 128
+SPAN = "struct<start:int,end:int,hit:string,before:string,after:string>"
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it occurs in there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def gathered(items: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]], kind: str) -> Column:
+    """Values of type ``kind`` from a fold over ``items``: ``step(state, item)`` gives the next state, a value, and whether it is kept.
+
+    A first fold finds the state at the start of each block, a second one lists the values of each block; so no list longer than
+    a block, and none longer than the number of blocks, is part of a state.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def ahead(acc: Column, block: Column) -> Column:
+        return F.struct(F.aggregate(block, acc["state"], lambda state, item: step(state, item)[0]).alias("state"),
+                        F.array_append(acc["starts"], acc["state"]).alias("starts"))
+
+    def listed(block: Column, start: Column) -> Column:
+        def add(acc: Column, item: Column) -> Column:
+            state, value, keep = step(acc["state"], item)
+            return F.struct(state.alias("state"), F.when(keep, F.array_append(acc["kept"], value)).otherwise(acc["kept"]).alias("kept"))
+
+        return F.aggregate(block, F.struct(start.alias("state"), none.alias("kept")), add, lambda acc: acc["kept"])
+
+    def over(blocks: Column) -> Column:
+        first = F.struct(zero.alias("state"), F.slice(F.array(zero), 1, 0).alias("starts"))
+        return F.flatten(F.zip_with(blocks, F.aggregate(blocks, first, ahead, lambda acc: acc["starts"]), listed))
+
+    def cut(whole: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.size(whole), F.lit(1)), F.lit(FOLD))
+        return bound(F.transform(places, lambda at: F.slice(whole, at, F.lit(FOLD))), over)
+
+    return bound(items, cut)
 
 
 def spans_of(text: Column, pattern: str, valid: Callable[[Column], Column] = lambda hit: F.lit(True)) -> Column:
-    """Leftmost non-overlapping matches that are ``valid`` as ``array<struct<start, end, hit>>`` in code points.
+    """Leftmost non-overlapping matches that are ``valid`` as ``array<struct<start, end, hit, before, after>>`` in code points.
 
-    The pieces between the matches and the matches themselves give the offsets. Matches that fail are dropped on the way, so
-    a text full of numbers does not build up a list.
+    The pieces between the matches and the matches themselves give the offsets, the CONTEXT characters before a match and the one
+    after it, in one pass over the text.
     """
-    pieces = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
+    pieces = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+    pair = F.zip_with(pieces, hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
+    first = lambda c: F.left(F.coalesce(c, F.lit("")), F.lit(1))
+
+    def described(p: Column, q: Column) -> Column:
+        return F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"),
+                        F.coalesce(p["hit"].isNotNull() & valid(p["hit"]), F.lit(False)).alias("ok"),
+                        F.left(F.concat(first(q["gap"]), first(q["hit"])), F.lit(1)).alias("after"))
+
+    near = bound(pair, lambda all_: F.zip_with(all_, F.slice(all_, 2, F.size(all_)), described))
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]
-        end = begin + F.coalesce(F.length(pair["hit"]), F.lit(0))
-        one = F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.when(pair["hit"].isNotNull() & valid(pair["hit"]), F.array_append(
-            state["found"], one)).otherwise(state["found"]).alias("found"))
+    def step(state: Column, p: Column) -> tuple[Column, Column, Column]:
+        begin = state["at"] + F.length(p["gap"])
+        end = begin + F.coalesce(F.length(p["hit"]), F.lit(0))
+        before = F.right(F.concat(state["tail"], p["gap"]), F.lit(CONTEXT))
+        tail = F.right(F.concat(before, F.coalesce(p["hit"], F.lit(""))), F.lit(CONTEXT))
+        span = F.struct(begin.alias("start"), end.alias("end"), p["hit"].alias("hit"), before.alias("before"), p["after"].alias("after"))
+        return F.struct(end.alias("at"), tail.alias("tail")), span, p["ok"]
 
-    pairs = F.zip_with(pieces, hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    return F.aggregate(pairs, start, add, lambda state: state["found"])
+    return gathered(near, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), step, SPAN)
 
 
 def _none() -> Column:
-    return F.array().cast("array<struct<start:int,end:int,hit:string>>")
+    return F.array().cast(f"array<{SPAN}>")
 
 
 def digits_of(text: Column) -> Column:
@@ -116,8 +165,8 @@ def proposals(text: Column) -> Column:
     def features_of(kind: str, span: Column) -> Column:
         hit = span["hit"]
         digits = digits_of(hit)
-        before = F.substr(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT)))
-        last, following = F.right(before, F.lit(1)), F.substr(text, span["end"] + 1, F.lit(1))
+        before, following = span["before"], span["after"]
+        last = F.right(before, F.lit(1))
         groups = F.regexp_extract_all(hit, F.lit(r"[0-9]+"), F.lit(0))
         number = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
         count = lambda p: number(F.length(hit) - F.length(F.regexp_replace(hit, p, "")))
@@ -138,8 +187,33 @@ def proposals(text: Column) -> Column:
         for kind, pattern, test in GENERATORS))
 
 
-def overlaps(span: Column, others: Column) -> Column:
-    return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+PROPOSAL = "struct<kind:string,start:int,end:int,f:array<double>>"
+
+
+def with_overlaps(proposed: Column, rules: dict[str, Column]) -> Column:
+    """``array<struct<p, own, any>>``: each proposal, and whether it overlaps a rule's span of its own kind, and of any.
+
+    One sweep over both lists by position: of the rules' spans that start before a proposal ends, the last end is compared with
+    the proposal's start.
+    """
+    event = "struct<pos:int,turn:int,end:int,p:{}>".format(PROPOSAL)
+    nothing = F.lit(None).cast(PROPOSAL)
+
+    def starting(turn: int) -> Callable[[Column], Column]:
+        return lambda s: F.struct(s["start"].alias("pos"), F.lit(turn).alias("turn"), s["end"].alias("end"), nothing.alias("p"))
+
+    starts = [F.transform(spans, starting(turn)) for turn, spans in enumerate(rules.values(), 1)]
+    ends = F.transform(proposed, lambda p: F.struct(p["end"].alias("pos"), F.lit(0).alias("turn"), p["start"].alias("end"), p.alias("p")))
+    events = F.array_sort(F.concat(*(x.cast(f"array<{event}>") for x in (*starts, ends))))
+
+    def step(last: Column, e: Column) -> tuple[Column, Column, Column]:
+        now = F.struct(*(F.when(e["turn"] == turn + 1, F.greatest(last[k], e["end"])).otherwise(last[k]).alias(k)
+                         for turn, k in enumerate(rules)))
+        own = F.coalesce(*(F.when(e["p"]["kind"] == k, last[k] > e["end"]) for k in rules))
+        value = F.struct(e["p"].alias("p"), own.alias("own"), (F.greatest(*(last[k] for k in rules)) > e["end"]).alias("any"))
+        return now, value, e["turn"] == 0
+
+    return gathered(events, F.struct(*(F.lit(-1).alias(k) for k in rules)), step, f"struct<p:{PROPOSAL},own:boolean,any:boolean>")
 
 
 def with_rules(docs: DataFrame) -> DataFrame:
@@ -161,10 +235,9 @@ def fit_model(docs: DataFrame) -> tuple[boosting.Forest | None, dict[str, float]
 
     def labelled(part: DataFrame, *values: Callable[[Column], Column]) -> DataFrame:
         """A row for each proposal: kind, whether it lies on a rule's span of its kind, hash of its features, ``values``."""
-        known = with_rules(part).withColumn("_all", proposals(F.col("_text")))
-        on_rule = F.transform("_all", lambda p: F.struct(p["kind"].alias("kind"), F.coalesce(*(
-            F.when(p["kind"] == k, overlaps(p, F.col(f"_{k}"))) for k in KINDS)).alias("label"),
-            F.xxhash64(p["f"]).alias("place"), *(v(p) for v in values)))
+        known = with_rules(part).withColumn("_all", with_overlaps(proposals(F.col("_text")), {k: F.col(f"_{k}") for k in KINDS}))
+        on_rule = F.transform("_all", lambda x: F.struct(
+            x["p"]["kind"].alias("kind"), x["own"].alias("label"), F.xxhash64(x["p"]["f"]).alias("place"), *(v(x["p"]) for v in values)))
         return known.select("drawn", F.explode(on_rule).alias("p")).select("drawn", "p.*")
 
     texts = docs.select("doc_id", "text", drawn.alias("drawn"))
@@ -227,15 +300,17 @@ def detect(docs: DataFrame) -> DataFrame:
     if forest is None or not np.isfinite(list(limits.values())).any():
         return ruled.withColumn("_spans", F.col("_rules"))
 
-    def accepted(p: Column) -> Column:
-        margin = forest.column([F.get(p["f"], F.lit(i)) for i in range(len(FEATURES))])
-        limit = F.coalesce(*(F.when(p["kind"] == k, F.lit(float(v))) for k, v in limits.items()))
-        return ~overlaps(p, F.col("_rules")) & (margin >= limit)
+    def accepted(x: Column) -> Column:
+        margin = forest.column([F.get(x["p"]["f"], F.lit(i)) for i in range(len(FEATURES))])
+        limit = F.coalesce(*(F.when(x["p"]["kind"] == k, F.lit(float(v))) for k, v in limits.items()))
+        return ~x["any"] & (margin >= limit)
 
     place = F.create_map(*(F.lit(x) for pair in zip(KINDS, range(len(KINDS))) for x in pair))
-    added = F.transform(F.filter(proposals(F.col("_text")), accepted), lambda p: F.struct(
-        p["start"].alias("start"), place[p["kind"]].alias("place"), p["end"].alias("end"), p["kind"].alias("kind")))
-    return ruled.withColumn("_spans", F.array_sort(F.array_distinct(F.concat(F.col("_rules"), added))))
+    beside = with_overlaps(proposals(F.col("_text")), {k: F.col(f"_{k}") for k in KINDS})
+    added = F.transform(F.filter(beside, accepted), lambda x: F.struct(
+        x["p"]["start"].alias("start"), place[x["p"]["kind"]].alias("place"), x["p"]["end"].alias("end"), x["p"]["kind"].alias("kind")))
+    # All distinct: added ones overlap no rule's span, and those of one kind do not overlap each other.
+    return ruled.withColumn("_spans", F.array_sort(F.concat(F.col("_rules"), added)))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -256,20 +331,26 @@ def redact(docs: DataFrame) -> DataFrame:
     Spans that overlap are replaced together under the kind of the first. A null text stays null; all columns stay.
     """
     found = detect(docs.select(packed(docs), "doc_id", "text"))
-    merged = F.aggregate(
-        "_spans", F.array().cast("array<struct<start:int,end:int,kind:string>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] > s["start"]),
-            F.array_append(F.slice(done, 1, F.size(done) - 1), F.struct(
-                F.element_at(done, -1)["start"].alias("start"),
-                F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
-                F.element_at(done, -1)["kind"].alias("kind")))
-        ).otherwise(F.array_append(done, F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
-    whole = F.col("_text")
-    pieces = F.transform("_merged", lambda s, i: F.concat(
-        F.substr(whole, F.coalesce(F.get("_merged", i - 1)["end"], F.lit(0)) + 1,
-                 s["start"] - F.coalesce(F.get("_merged", i - 1)["end"], F.lit(0))),
-        F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    rest = F.substr(whole, F.element_at("_merged", -1)["end"] + 1)
+    cell = "struct<start:int,end:int,kind:string>"
+    flush = F.array(F.struct(F.lit(2**31 - 1).alias("start"), F.lit(0).alias("end"), F.lit("").alias("kind"))).cast(f"array<{cell}>")
+    spans = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+
+    def step(open_: Column, s: Column) -> tuple[Column, Column, Column]:
+        inside = open_["end"] > s["start"]
+        grown = F.struct(open_["start"].alias("start"), F.greatest(open_["end"], s["end"]).alias("end"), open_["kind"].alias("kind"))
+        return F.when(inside, grown).otherwise(s), open_, ~inside & (open_["start"] >= 0)
+
+    none = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.lit("").alias("kind")).cast(cell)
+    merged = gathered(F.concat(spans.cast(f"array<{cell}>"), flush), none, step, cell)
+    # A substring is found from the start of its text, so texts are cut into cells first and pieces looked up in these.
+    cells = F.transform(F.sequence(F.lit(0), F.length("_text").cast("int"), F.lit(CELL)), lambda at: F.substr(F.col("_text"), at + 1, F.lit(CELL)))
+
+    def piece(start: Column, end: Column) -> Column:
+        first, last = F.floor(start / CELL).cast("int"), F.floor(end / CELL).cast("int")
+        return F.substr(F.array_join(F.slice("_cells", first + 1, last - first + 1), ""), start % CELL + 1, end - start)
+
+    previous = lambda i: F.when(i > 0, F.get("_merged", i - 1)["end"]).otherwise(0)
+    pieces = F.transform("_merged", lambda s, i: F.concat(piece(previous(i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
+    rest = piece(F.element_at("_merged", -1)["end"], F.length("_text").cast("int"))
     clean = F.when(F.size("_merged") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("text"))
-    return found.withColumn("_merged", merged).select(*unpacked(docs, text=clean))
+    return found.withColumn("_merged", merged).withColumn("_cells", F.when(F.size("_merged") > 0, cells)).select(*unpacked(docs, text=clean))

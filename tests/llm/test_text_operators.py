@@ -487,3 +487,16 @@ def test_pii_thresholds_come_from_the_whole_table(spark, monkeypatch):
     monkeypatch.setattr(pii, "SAMPLE_DOCS", 1500)
     forest, limits = pii.fit_model(docs)
     assert forest is not None and all(np.isfinite(limits[k]) for k in ("email", "ip", "phone"))
+
+
+def test_pii_many_spans_in_one_text(spark):
+    """Tens of thousands of spans in a text: offsets, sweep and redaction work block by block."""
+    hits = [f"user{i}@example{i % 97}.com" if i % 3 else f"10.{i % 256}.0.1" for i in range(20_000)]
+    text, spans, at = " é ".join(hits), [], 0
+    for hit in hits:
+        spans.append(f"{'email' if '@' in hit else 'ip'}:{at}:{at + len(hit)}")
+        at += len(hit) + 3
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = pii.report(docs).first()
+    assert row.spans == ",".join(spans) and row.n_email + row.n_ip == len(hits)
+    assert pii.redact(docs).first().text == " é ".join("[EMAIL]" if "@" in h else "[IP]" for h in hits)
