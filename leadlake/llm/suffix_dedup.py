@@ -257,9 +257,12 @@ def flagged_stretches(texts: DataFrame, bucket: int = BUCKET) -> DataFrame:
     found = _stored(batch_map(texts, _find_stretches, STRETCH), "stretches")
     shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("more").isNotNull()).alias("_more")).filter(
         F.col("_more") | (F.col("_n") > 1)).select("h")
-    candidates = _stored(found.join(shared, "h", "left_semi"), "candidates")
+    # Repeated rows have equal stretches; these count, but are listed once.
+    same = [c for c in found.columns if c != "more"]
+    candidates = _stored(found.join(shared, "h", "left_semi").groupBy(*same).agg(
+        F.first("more").alias("more"), F.count(F.lit(1)).alias("copies")), "candidates")
     classes = _stored(candidates.groupBy("h", "c", "n", "a").agg(
-        F.sum(1 + F.coalesce(F.size("more"), F.lit(0))).alias("times"), F.min(F.struct("did", "tkey", "s")).alias("one")),
+        F.sum(F.col("copies") * (1 + F.coalesce(F.size("more"), F.lit(0)))).alias("times"), F.min(F.struct("did", "tkey", "s")).alias("one")),
         "classes")
     several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     asked = classes.join(several, "h").select("one.did", "one.tkey", F.struct(

@@ -500,3 +500,14 @@ def test_pii_many_spans_in_one_text(spark):
     row = pii.report(docs).first()
     assert row.spans == ",".join(spans) and row.n_email + row.n_ip == len(hits)
     assert pii.redact(docs).first().text == " é ".join("[EMAIL]" if "@" in h else "[IP]" for h in hits)
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_suffix_dedup_many_rows_with_one_id(spark, doc_id):
+    """Rows that repeat as a whole are listed once, so the work stays in proportion to the rows."""
+    rnd = random.Random(3)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(6000))
+    other = text[:500] + "".join(rnd.choice("abcdefgh ") for _ in range(700))
+    docs = spark.createDataFrame([(doc_id, text)] * 1500 + [(9, other)], "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.report(docs).collect())
+    assert got == {(doc_id, 6000, 6000, 1): 1500, (9, 1200, 500, 1): 1}
