@@ -105,7 +105,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes at least half of it.
 
-    Rows are range-sorted by finish time, so any prefix of the table is mixed in the same proportions.
+    Rows are range-sorted by finish time, so any prefix of the table is mixed in the same proportions. Documents without words, null texts
+    among them, never enter; an empty table gives no rows.
     """
     wanted = mix(docs, **options).filter(F.size("finishes") > 0).select("doc_id", "source", "size", "finishes").withColumn(
         "n", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("finishes")))

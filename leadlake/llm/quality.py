@@ -159,6 +159,7 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that ``assess`` keeps, with all their columns."""
+    """The documents that ``assess`` keeps, with all their columns. Null and empty texts have no words and go; repeated rows are judged alike; an
+    empty table gives no rows."""
     verdict = fit_verdict(docs, labels)
     return batch_map(docs, lambda batch: [batch.filter(pa.array(verdict.kept(batch_statistics(batch))))], docs.schema)
