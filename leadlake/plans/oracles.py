@@ -496,4 +496,5 @@ ORACLES: dict[str, str] = {
     "stream_bronze": _with("SELECT *, lead_id AS kafka_key, 'leads' AS topic, false AS is_corrupt, 'bronze' AS layer FROM leads", "leads"),
     "stream_silver": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
     "stream_silver_table": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
+    "stream_silver_index": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
 }

@@ -712,3 +712,12 @@ def stream_silver_table(spark, sf):
     bronze = jobs.read_bronze_stream(spark, f"{folder}/bronze")
     jobs.start_silver(bronze, f"{folder}/silver", f"{folder}/cp_silver", every=None, dedup="table").awaitTermination()
     return spark.read.parquet(f"{folder}/silver").select("email", "source", "email_domain", "layer")
+
+
+@query
+def stream_silver_index(spark, sf):
+    """Bronze arrives in several micro-batches, each checked against the index of the ones before."""
+    folder = _streamed_bronze(spark, sf)
+    bronze = jobs.read_bronze_stream(spark, f"{folder}/bronze", files_per_batch=2)
+    jobs.start_silver(bronze, f"{folder}/silver", f"{folder}/cp_silver", every=None, dedup="index").awaitTermination()
+    return spark.read.parquet(f"{folder}/silver").select("email", "source", "email_domain", "layer")

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from leadlake import profiles
 from leadlake.operators.dedup import keep_first
+from leadlake.operators.key_index import append_new
 from leadlake.operators.medallion import clean_leads, parse_envelope
 from leadlake.operators.monitoring import ABSENT
 from leadlake.schemas import BRONZE_LEAD
@@ -60,6 +61,8 @@ def start_silver(bronze: DataFrame, path: str, checkpoint: str, every: str | Non
     ``watermark``  state holds keys of the last ``delay`` of event time; a repeat after that passes again.
     ``table``      no state: each micro-batch drops keys that the silver table already has. The check against
                    the table also makes a replayed batch harmless.
+    ``index``      no state: as ``table``, but against an index of keys in ``checkpoint/keys``, so what a micro-batch reads
+                   follows its own keys, not the table. Rows carry the batch that wrote them in ``write_id``.
     """
     keys = list(profiles.STREAM.dedup_keys)
     cleaned = clean_stream(bronze)
@@ -68,6 +71,11 @@ def start_silver(bronze: DataFrame, path: str, checkpoint: str, every: str | Non
             lambda batch, _: append_new_keys(batch.drop("kafka_timestamp"), path, keys)
         )
         return _trigger(writer, every).start()
+    if dedup == "index":
+        writer = cleaned.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+            lambda batch, number: _append_by_index(batch.drop("kafka_timestamp"), number, path, f"{checkpoint}/keys", keys)
+        )
+        return _trigger(writer, every).start()
     if dedup == "watermark":
         unique = cleaned.withWatermark("kafka_timestamp", delay).dropDuplicatesWithinWatermark(keys)
     else:
@@ -107,6 +115,12 @@ def append_new_keys(batch: DataFrame, path: str, keys: list[str]) -> None:
         fresh.unpersist()
 
 
+def _append_by_index(batch: DataFrame, number: int, path: str, folder: str, keys: list[str]) -> None:
+    """One micro-batch through the key index. The query's id lasts as long as its checkpoint, so a batch has one name for ever."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    append_new(batch, keys, [F.col("lead_id").asc_nulls_last()], path, folder, f"{stream}-{number:010d}")
+
+
 def run_streams(spark: SparkSession) -> None:
     """Wait until any of the running queries ends."""
     spark.streams.awaitAnyTermination()

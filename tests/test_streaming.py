@@ -53,7 +53,7 @@ def test_bronze_restart_and_bad_messages(spark, tmp_path):
     assert (tmp_path / "bronze" / "source=hubspot").is_dir()
 
 
-@pytest.mark.parametrize("dedup", ["exact", "watermark", "table"])
+@pytest.mark.parametrize("dedup", ["exact", "watermark", "table", "index"])
 def test_repeats_across_batches(spark, tmp_path, dedup):
     base = str(tmp_path)
     land(spark, f"{base}/in", message(1, "a@x.com", minute=1), message(2, " A@X.com ", minute=2), message(3, "a@x.com", "hubspot", 3),
