@@ -70,8 +70,6 @@ def _bad_rows(check: Check, dtypes: dict[str, str], now: Column) -> Column:
     column = F.col(check.column)
     if check.expectation == "expect_column_no_nulls":
         return F.count_if(column.isNull())
-    if check.expectation == "expect_column_unique":
-        return F.count(F.lit(1)) - F.count_distinct(column)
     if check.expectation == "expect_values_in_set":
         return F.count_if(~F.coalesce(column.isin(*check.valid_values), F.lit(False)))
     if check.expectation == "expect_email_format":
@@ -122,17 +120,36 @@ def _result(check: Check, bad: Column, total: Column, known: bool) -> Column:
     )
 
 
+def _counts(df: DataFrame, checks: Sequence[Check], dtypes: dict[str, str], now: Column) -> DataFrame:
+    """One row: ``total`` and ``bad_<i>`` of every check.
+
+    Everything but uniqueness is one aggregate without a shuffle of rows. The distinct values of each column under a uniqueness check are
+    counted by a branch of their own, which reads and shuffles that column only: several distinct counts in one aggregate would
+    send each row once per column. The branches meet as one-row tables.
+    """
+    names = [f"bad_{i}" for i in range(len(checks))]
+    own = {i: check.column for i, check in enumerate(checks) if check.expectation == "expect_column_unique" and check.column in dtypes}
+    parts = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[_bad_rows(check, dtypes, now).cast("bigint").alias(names[i]) for i, check in enumerate(checks) if i not in own],
+    )
+    if not own:
+        return parts
+    for column in dict.fromkeys(own.values()):
+        distinct = df.select(F.col(column).alias("_v")).distinct().agg(F.count("_v").alias("_n"))
+        parts = parts.unionByName(distinct.select(*[F.col("_n").alias(names[i]) for i, c in own.items() if c == column]), True)
+    merged = parts.agg(*[F.max(c).alias(c) for c in ("total", *names)])
+    return merged.withColumns({names[i]: F.col("total") - F.col(names[i]) for i in own})
+
+
 def run_suite(df: DataFrame, checks: Sequence[Check], layer: str, now: Column | None = None) -> DataFrame:
-    """One row per check. The table is scanned once, whatever the number of checks.
+    """One row per check. No column is read more than twice, whatever the number of checks; ``df`` should be a stored table.
 
     A missing column fails its check; only the date check skips. ``now`` fixes the clock.
     """
     now = F.current_timestamp() if now is None else now
     dtypes = dict(df.dtypes)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[_bad_rows(check, dtypes, now).cast("bigint").alias(f"bad_{i}") for i, check in enumerate(checks)],
-    )
+    counts = _counts(df, checks, dtypes, now)
     results = F.array(*[
         _result(check, F.col(f"bad_{i}"), F.col("total"), check.column is None or check.column in dtypes)
         for i, check in enumerate(checks)

@@ -95,3 +95,15 @@ def test_latest_report(spark, tmp_path):
         time.sleep(1.1)
     rows = monitoring.latest_report(spark, str(tmp_path), "layer string, passed boolean").collect()
     assert [r.passed for r in rows] == [True, True]
+
+
+def test_several_unique_checks_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, "a", -0.0), (1, "b", 0.0), (None, "b", None), (2, None, 1.0)], "i int, s string, d double")
+    checks = [quality.unique(c) for c in ("i", "s", "d", "i", "gone")] + [quality.no_nulls("s")]
+    results = quality.run_suite(df, checks, "T")
+    assert "Expand" not in results._jdf.queryExecution().executedPlan().toString()
+    rows = results.orderBy("check_no").collect()
+    assert [r.duplicate_count for r in rows] == [2, 2, 2, 2, None, None] and [r.total_rows for r in rows] == [4] * 6
+    assert rows[4].status == "FAIL" and rows[5].null_count == 1
+    empty = quality.run_suite(df.limit(0), checks[:2], "T").collect()
+    assert [(r.duplicate_count, r.passed) for r in empty] == [(0, True)] * 2
