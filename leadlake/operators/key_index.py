@@ -15,6 +15,7 @@ batch that is replayed ignores the run that it left behind, gives the same answe
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -22,12 +23,16 @@ from operator import and_
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlake.operators.dedup import keep_first
 
+# Executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Keys of a bucket, on average.
 BUCKET_KEYS = 65_536
 # Runs of one level that become one of the next.

@@ -497,4 +497,16 @@ ORACLES: dict[str, str] = {
     "stream_silver": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
     "stream_silver_table": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
     "stream_silver_index": _with("""SELECT email, source, email_domain, 'silver' AS layer FROM stream_silver""", "stream_silver"),
+    "insights_cached": _with("""SELECT sha256(user_prompt) AS prompt_sha256, count(*) AS leads,
+        CAST(length(user_prompt) % 101 AS INTEGER) AS enrichment_confidence, CAST(CASE WHEN seniority IN ('vp','director') THEN 2 ELSE 1 END AS BIGINT) AS asks,
+        CASE WHEN seniority IN ('vp','director') THEN '2' ELSE '1' END AS last_run FROM (
+        SELECT *, concat_ws(chr(10), 'Lead', 'Name: '||full_name, 'Job title: Unknown', 'Seniority: '||seniority,
+        'Company: '||company_name, 'Industry: '||industry, 'Employee count: '||coalesce(CAST(employee_count AS VARCHAR),'None'),
+        'Email domain: Unknown', 'Answer in JSON.') AS user_prompt FROM local_gold) p GROUP BY user_prompt, seniority""", "local_gold"),
+    "delivery_ledger": _with("""SELECT delivery_id, channel, CAST(CASE kind WHEN 'never' THEN 3 WHEN 'once' THEN 2 ELSE 1 END AS BIGINT) AS tries,
+        CASE kind WHEN 'never' THEN 'dead' ELSE 'sent' END AS status,
+        CASE kind WHEN 'never' THEN '2026-06-15 00:03:20' WHEN 'once' THEN '2026-06-15 00:01:00' ELSE '2026-06-15 00:00:00' END AS last_try,
+        CAST(NULL AS VARCHAR) AS next_try, CASE kind WHEN 'never' THEN 'timeout' END AS error FROM (SELECT *, CASE
+        WHEN delivery_id < '4' AND channel = 'slack' THEN 'never' WHEN delivery_id >= '4' AND delivery_id < '8' THEN 'once' ELSE 'at first' END
+        AS kind FROM deliveries) d""", "gold", more=ACTIVE),
 }

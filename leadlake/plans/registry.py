@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from leadlake.functions import scoring, text
 from leadlake.operators import (
-    activation, components, identity, identity_store, insights, medallion, monitoring, quality, summary, warehouse,
+    activation, answers, components, identity, identity_store, insights, ledger, medallion, monitoring, quality, summary, warehouse,
 )
 from leadlake.plans import pipeline
 from leadlake.plans.fixtures import leads, leads_from, messages, table
@@ -542,6 +543,33 @@ def insights_rejected(spark, sf):
     return insights.rejected_responses(_responses(_gold(spark, sf)))
 
 
+def _steady_model(pairs):
+    return [json.dumps({"enrichment_confidence": len(user) % 101}) for _, user in pairs]
+
+
+def _shaky_model(pairs):
+    """No answer for one seniority, text without JSON for another."""
+    good = _steady_model(pairs)
+    return [None if "Seniority: vp" in user else "no json here" if "Seniority: director" in user else reply
+            for (_, user), reply in zip(pairs, good)]
+
+
+@query
+def insights_cached(spark, sf):
+    """Three runs over one store of answers: the second asks again what failed in the first, the third asks nothing. By prompt, because
+    ``lead_id`` is not unique here."""
+    asked = cut_lineage(insights.prompts(_gold_of(spark, sf, "local"), insights.ENRICHMENT))
+    folder = scratch_path(spark, "answers")
+    for run, model in (("1", _shaky_model), ("2", _steady_model), ("3", _steady_model)):
+        answers.ask(asked, model, folder, run)
+    tries = answers.stored(spark, folder)
+    per_prompt = tries.groupBy("digest").agg(F.count(F.lit(1)).alias("asks"), F.max("run").alias("last_run"))
+    confidence = F.from_json("response", insights.ENRICHMENT.schema)["enrichment_confidence"].alias("enrichment_confidence")
+    distinct = answers.with_digest(asked).groupBy("digest").agg(
+        F.sha2(F.first("user_prompt"), 256).alias("prompt_sha256"), F.count(F.lit(1)).alias("leads"))
+    return distinct.join(answers.usable_answers(tries).select("digest", confidence), "digest", "left").join(per_prompt, "digest").drop("digest")
+
+
 @query
 def insights_select(spark, sf):
     return warehouse.insights_table(insights.build_insights(_gold(spark, sf), max_leads=None)).drop("PROCESSED_AT")
@@ -616,6 +644,23 @@ def delivery_summary(spark, sf):
     return activation.delivery_summary(done.unionByName(tried))
 
 
+@query
+def delivery_ledger(spark, sf):
+    """Five runs of a sender that loses some messages once and others for ever; three tries at most."""
+    box = cut_lineage(activation.outbox(activation.activation_leads(_scored_insights(spark, sf)), triggered_at=F.lit(CLOCK)))
+    folder = scratch_path(spark, "ledger")
+    digit = F.substring("delivery_id", 1, 1)
+    lost = (digit < "4") & (F.col("channel") == "slack")
+    for number, second in enumerate((0, 30, 60, 200, 600)):
+        now = F.lit(CLOCK).cast("timestamp") + F.make_interval(secs=F.lit(second))
+        fails = lost | digit.between("4", "7") if number == 0 else lost
+        todo = ledger.due(box, ledger.state(ledger.tries(spark, folder), max_tries=3), now)
+        ledger.record(todo.select("delivery_id", "channel", now.alias("tried_at"), F.when(fails, "failed").otherwise("sent").alias("status"),
+                                  F.when(fails, "timeout").alias("error")), folder)
+    states = ledger.state(ledger.tries(spark, folder), max_tries=3)
+    return states.select("delivery_id", "channel", "tries", "status", _time_text("last_try"), _time_text("next_try"), "error")
+
+
 # ----------------------------------------------------------------------------------------------- warehouse
 
 @query
