@@ -69,6 +69,7 @@ class PageTree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", False)
         self.open = [self.root]
+        self.depths: dict[str, list[int]] = {}  # of the open elements of a tag, without the root
         self.feed(html)
         self.close()
         while self.open:
@@ -77,6 +78,8 @@ class PageTree(HTMLParser):
     def _end(self) -> None:
         """Close the innermost element; its hash covers tag, texts and the hashes of its children."""
         element = self.open.pop()
+        if self.open:
+            self.depths[element.tag].pop()
         seen = xxhash.xxh64(element.tag.encode())
         for part in element.parts:
             if isinstance(part, str):
@@ -94,7 +97,7 @@ class PageTree(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "html":
             return
-        if tag in BLOCKS and any(e.tag == "p" for e in self.open):
+        if tag in BLOCKS and self._innermost({"p"}):
             self._close_to({"p"}, MAIN | {"td", "th", "button", "div"} | LISTS)
         if tag in SIBLINGS:
             self._close_to(SIBLINGS[tag], LISTS)
@@ -110,20 +113,21 @@ class PageTree(HTMLParser):
                 hidden = True
         element = Element(tag, marked and tag != "body", hidden and tag != "body")
         self.open[-1].parts.append(element)
+        self.depths.setdefault(tag, []).append(len(self.open))
+        self.open.append(element)
         if tag in VOID:
-            self.open.append(element)
             self._end()
-        else:
-            self.open.append(element)
+
+    def _innermost(self, tags: set[str] | frozenset[str]) -> int:
+        """Depth of the innermost open element with one of the tags, 0 if there is none; its cost is that of ``tags``, not of the nesting."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
 
     def _close_to(self, tags: set[str], barrier: frozenset[str]) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag in tags:
-                while len(self.open) > depth:
-                    self._end()
-                return
-            if self.open[depth].tag in barrier:
-                return
+        """Close the innermost of ``tags`` and all within it, unless a ``barrier`` lies within it."""
+        depth = self._innermost(tags)
+        if depth and depth >= self._innermost(barrier):
+            while len(self.open) > depth:
+                self._end()
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -133,11 +137,7 @@ class PageTree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body"):
             return
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                while len(self.open) > depth:
-                    self._end()
-                return
+        self._close_to({tag}, frozenset())
 
     def handle_data(self, data: str) -> None:
         self.open[-1].parts.append(data)

@@ -173,3 +173,19 @@ def test_pipeline_awkward_and_empty_tables(spark, tmp_path, edge, empty):
         assert result[-1].filter("not round_trip").count() == 0
     assert result[-1].count() == 0
     assert EDGE_SCHEMA and edge_rows()
+
+
+def test_html_cost_of_deep_nesting():
+    """Every start and end tag costs the same however many elements are open: four times as many take about four times as long."""
+    from time import process_time
+
+    from leadlake.llm.html_extract import main_text, subtree_hashes
+
+    for page in (lambda n: "<div>" * n + "end", lambda n: "<i>" * n + "</b>" * n + "end", lambda n: "<p>" + "<i>" * n + "end" + "<div>x" * 9):
+        times = []
+        for n in (10_000, 40_000):
+            start = process_time()
+            subtree_hashes(page(n))
+            assert main_text(page(n), set()).startswith("end")
+            times.append(process_time() - start)
+        assert times[1] < 10 * times[0]
