@@ -21,6 +21,9 @@ BRONZE_TRIGGER = "30 seconds"
 SILVER_TRIGGER = "60 seconds"
 # Most bytes of a micro-batch's keys that are broadcast.
 BROADCAST_BYTES = 32 << 20
+# Folders that a task of bronze writes side by side. Without a value Spark sorts the rows of a task by folder before it writes them, in
+# memory that grows with the task; a task with more folders than this sorts its remaining rows.
+OPEN_FOLDERS = 32
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,6 +34,8 @@ def _trigger(writer, every: str | None):
 
 def start_bronze(messages: DataFrame, path: str, checkpoint: str, every: str | None = BRONZE_TRIGGER) -> StreamingQuery:
     """Append parsed messages to Parquet, one folder per source. Exactly once through checkpoint and file log."""
+    # The sink reads this from the session with every micro-batch, so it has to stay set.
+    messages.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FOLDERS))
     writer = (
         parse_envelope(messages).writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).partitionBy("source").outputMode("append")

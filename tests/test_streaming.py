@@ -103,3 +103,16 @@ def test_batch_and_stream_parse_alike(spark, tmp_path):
     batch = medallion.parse_envelope(spark.read.parquet(f"{base}/in"))
     columns = [c for c in batch.columns if c != "bronze_loaded_at"]
     assert batch.select(columns).exceptAll(spark.read.parquet(f"{base}/bronze").select(columns)).isEmpty()
+
+
+def test_bronze_writes_folders_side_by_side(spark, tmp_path):
+    """No sort of a task's rows by folder; with more folders than are written side by side nothing is lost."""
+    base, sources = str(tmp_path), jobs.OPEN_FOLDERS + 8
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    land(spark, f"{base}/in", *(message(i, f"p{i}@x.com", f"s{i % sources}") for i in range(3 * sources)), ("bad", "{", "leads", 0, -1, None))
+    bronze_pass(spark, base)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
+    bronze = spark.read.parquet(f"{base}/bronze")
+    assert sorted((r.kafka_key, r.source) for r in bronze.filter("not is_corrupt").collect()) == sorted(
+        (f"l{i}", f"s{i % sources}") for i in range(3 * sources))
+    assert bronze.filter("is_corrupt").count() == 1
