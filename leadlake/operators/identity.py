@@ -137,10 +137,17 @@ def company_pairs(leads: DataFrame) -> DataFrame:
     return _company_pairs(nodes, nodes.count())
 
 
-def _company_pairs(forms: DataFrame, total: int) -> DataFrame:
+def _pairs_with(new: DataFrame, old: DataFrame, nodes: DataFrame, threshold: int, total: int) -> DataFrame:
+    """Similar pairs of the distinct ``nodes`` with at least one end in ``new``, each once; ``old`` are the others. A text has several times
+    more keys as the longer side, so that each text takes that side once."""
+    return similar_pairs(nodes, new, threshold, total).unionByName(similar_pairs(new, old, threshold, total))
+
+
+def _company_pairs(forms: DataFrame, total: int, stored: DataFrame | None = None) -> DataFrame:
     """Companies are compared once each, and similar ones are contracted into classes. Names are then compared once per class,
     whatever number of companies they stand in, and only similar names meet the pairs of similar companies. ``forms``
-    (``total`` rows) should be materialized, it is read several times."""
+    (``total`` rows) should be materialized, it is read several times. With ``stored``, a part of them that was compared before, names are
+    compared only with those that stand in another node; pairs of stored nodes may be among the result."""
     nodes = _company_nodes(forms)
     similar = cut_lineage(similar_companies(nodes, total))
     labels = connected_components(similar, "company", "partner").withColumnRenamed("id", "company")
@@ -149,8 +156,13 @@ def _company_pairs(forms: DataFrame, total: int) -> DataFrame:
     placed = cut_lineage(salted_join(
         nodes.select(F.col("m_name").alias("name"), F.col("m_company").alias("company")), classes, "company", total))
     texts = placed.select("grp", F.col("name").alias("text")).distinct()
-    fuzzy = similar_pairs(texts, texts, NAME_THRESHOLD, total).select(
-        F.col("own_a").alias("grp"), F.col("text_a").alias("name"), F.col("text_b").alias("other"))
+    if stored is None:
+        fuzzy = similar_pairs(texts, texts, NAME_THRESHOLD, total)
+    else:
+        compared = _company_nodes(stored).select(F.col("m_name").alias("name"), F.col("m_company").alias("company"))
+        new = cut_lineage(placed.join(compared, ["name", "company"], "left_anti").select("grp", F.col("name").alias("text")).distinct())
+        fuzzy = _pairs_with(new, texts.subtract(new), texts, NAME_THRESHOLD, total)
+    fuzzy = fuzzy.select(F.col("own_a").alias("grp"), F.col("text_a").alias("name"), F.col("text_b").alias("other"))
     reach = salted_join(placed, similar, "company", total)
     ends = reach.filter("company < partner").withColumn("other", F.col("name")).select(
         "name", "company", "other", "partner"
@@ -299,28 +311,30 @@ def match_edges(leads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFra
 
 def member_edges(members: DataFrame, threshold: int = DEFAULT_THRESHOLD, fresh: DataFrame | None = None) -> DataFrame:
     """Edges between the anchors of stored ``members``; with ``fresh``, a part of them, those that this part adds (others may be among
-    them). Names of a domain are then compared only with fresh ones."""
+    them). Names of a domain or of similar companies are then compared only with those of nodes that the other members do not have."""
     total = members.count()
+    stored = None if fresh is None else cut_lineage(members.subtract(fresh))
+    if stored is not None and stored.isEmpty():
+        stored = None  # nothing was compared before
     edges = _star(members, "n_email", total)
     if threshold <= SAME_NAME_CONFIDENCE:
         nodes = _domain_nodes(members)
-        if fresh is None:
+        if stored is None:
             fuzzy = similar_pairs(nodes, nodes, DOMAIN_NAME_THRESHOLD, total)
         else:
-            new = _domain_nodes(fresh)
-            fuzzy = similar_pairs(new, nodes, DOMAIN_NAME_THRESHOLD, total).unionByName(
-                similar_pairs(nodes, new, DOMAIN_NAME_THRESHOLD, total))
+            old = _domain_nodes(stored)
+            fuzzy = _pairs_with(cut_lineage(nodes.subtract(old)), old, nodes, DOMAIN_NAME_THRESHOLD, total)
         edges = edges.unionByName(
             fuzzy.filter(F.floor(F.col("score") * 0.9) >= threshold)
             .select(F.concat_ws(_SEP, F.lit("d"), "own_a", "text_a").alias("src"),
                     F.concat_ws(_SEP, F.lit("d"), "own_b", "text_b").alias("dst"))
         )
     if threshold <= COMPANY_CONFIDENCE:
-        if fresh is not None:
+        if stored is not None:
             members = cut_lineage(_near_companies(members, fresh, total))
         anchor_of = members.filter("n_company is not null").groupBy("n_company").agg(F.min("anchor").alias("anchor"))
         node = lambda i: F.concat_ws(_SEP, F.lit("c"), f"name_{i}", f"company_{i}")
-        ends = _company_pairs(members, total).select(node(1).alias("n_1"), node(2).alias("n_2"))
+        ends = _company_pairs(members, total, stored).select(node(1).alias("n_1"), node(2).alias("n_2"))
         side = lambda key, name: anchor_of.select(F.col("n_company").alias(key), F.col("anchor").alias(name))
         edges = edges.unionByName(_star(members, "n_company", total)).unionByName(
             ends.join(side("n_1", "src"), "n_1").join(side("n_2", "dst"), "n_2").select("src", "dst")
@@ -332,9 +346,8 @@ def _near_companies(members: DataFrame, fresh: DataFrame, total: int) -> DataFra
     """The members whose company is that of a fresh one or similar to it."""
     companies = lambda df: df.filter("m_company != ''").select(F.lit("").alias("grp"), F.col("m_company").alias("text")).distinct()
     new, known = companies(fresh), companies(members)
-    near = new.select("text").unionByName(
-        similar_pairs(new, known, COMPANY_THRESHOLD, total).select(F.col("text_b").alias("text"))
-    ).unionByName(similar_pairs(known, new, COMPANY_THRESHOLD, total).select(F.col("text_a").alias("text"))).distinct()
+    pairs = _pairs_with(new, known.subtract(new), known, COMPANY_THRESHOLD, total)
+    near = new.select("text").unionByName(pairs.select(F.explode(F.array("text_a", "text_b")).alias("text"))).distinct()
     return members.join(near.withColumnRenamed("text", "m_company"), "m_company", "left_semi")
 
 

@@ -52,6 +52,8 @@ FROM (
 """
 
 
+# Customers that one task derives leads from; a small file of keys becomes many times its size of leads.
+CUSTOMERS_PER_TASK = 20_000
 # Folder of the landed leads by application and source folder.
 _LANDED: dict[tuple[str, str], str] = {}
 
@@ -71,7 +73,9 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         path = scratch_path(spark, "raw-leads")
-        derived = leads_from(spark, table(spark, sf_dir, "customer"))
+        customers = table(spark, sf_dir, "customer").select("c_custkey")
+        tasks = -(-customers.count() // CUSTOMERS_PER_TASK)
+        derived = leads_from(spark, customers.repartition(tasks) if tasks > 1 else customers)
         derived.write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])

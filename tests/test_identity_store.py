@@ -58,3 +58,24 @@ def test_unfinished_batch_is_not_read(spark, tmp_path):
     assert identity_store.labels(spark, str(folder)).count() == 0
     identity_store.add_batch(frame(spark, []), str(folder))
     assert identity_store.labels(spark, str(folder)).count() == 0
+
+
+def test_stored_names_are_not_compared_again(spark, tmp_path, monkeypatch):
+    """Each pair of names with a new end once per rule; pairs of stored names were compared when they came."""
+    folder, seen, plain = str(tmp_path / "store"), [], identity.similar_pairs
+
+    def recorded(short, long, threshold, total):
+        found = plain(short, long, threshold, total)
+        seen.extend((threshold, r.own_a, *sorted((r.text_a, r.text_b))) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(identity, "similar_pairs", recorded)
+    names = ["Alexandra Bellingham", "Alexandra Bellinghan", "Alexandra Bellinghams"]
+    rows = [lead(i, name, f"p{i}@x.com", company) for i, (name, company) in enumerate(zip(names, ("Acme", "Acme", "Acme")))]
+    identity_store.add_batch(frame(spark, rows[:2]), folder)
+    assert Counter(s[0] for s in seen) == {85: 1, 90: 1}
+    seen.clear()
+    identity_store.add_batch(frame(spark, rows[2:]), folder)
+    assert Counter(s[0] for s in seen) == {85: 2, 90: 2}
+    assert all("alexandra bellinghams" in s[2:] for s in seen)
+    assert len({r.component for r in identity_store.labels(spark, folder).collect()}) == 1
